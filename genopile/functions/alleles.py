@@ -1,7 +1,7 @@
 """Column expressions on the allele counts of one sample at one position.
 
-The expressions read the columns ``ref``, ``cov``, ``n_a n_c n_g n_t n_n n_del`` and
-``alleles`` (see :func:`with_alleles`), and for indels the columns that
+The expressions read the columns ``ref``, ``cov``, ``n_a n_c n_g n_t n_n n_del`` and those
+of :func:`with_alleles`, and for indels the columns that
 ``operators.indels.attach_indels`` adds.
 """
 
@@ -11,23 +11,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from genopile.config import MIN_FREQ
+from genopile.functions.once import with_once
 
 # The allele alphabet and the counter column of each letter.
 COUNTERS = {"A": "n_a", "C": "n_c", "G": "n_g", "T": "n_t", "N": "n_n", "-": "n_del"}
 
 
 def with_alleles(df: DataFrame) -> DataFrame:
-    """Add ``alleles``: six ``(n, allele)`` entries, highest count (then letter) first.
+    """Add the allele table and what is read from it most.
 
-    A depth without any counted allele is no coverage.
+    ``alleles`` has six ``(n, allele)`` entries, highest count (then letter) first.  A depth
+    without any counted allele is no coverage.  ``major`` is the top allele; on a tie with
+    the reference the other one.  ``purity`` is the share of the top allele.
     """
     table = F.array(*(F.struct(F.col(c).alias("n"), F.lit(a).alias("allele")) for a, c in COUNTERS.items()))
     counted = sum((F.col(c) for c in COUNTERS.values()), F.lit(0))
-    return df.withColumns(
+    sorted_ = with_once(
+        df,
         {
             "alleles": F.sort_array(table, asc=False),
             "cov": F.when(counted > 0, F.col("cov")).otherwise(F.lit(0).cast("bigint")),
-        }
+        },
+    )
+    tie = (_n(1) > 0) & (_n(0) == _n(1)) & (_allele(0) == _ref())
+    top = F.when(tie, _allele(1)).otherwise(_allele(0))
+    second = F.when(tie, _allele(0)).otherwise(_allele(1))
+    return with_once(
+        sorted_,
+        {
+            "major": F.when(covered(), top).otherwise("."),
+            "minor": F.when(covered() & (_n(1) > 0), second).otherwise(""),
+            "purity": _share(_n(0)),
+        },
     )
 
 
@@ -61,23 +76,16 @@ def allele_text() -> Column:
     return F.array_join(F.transform(shown, lambda x: F.concat_ws(":", x["allele"], x["n"].cast("string"))), ",")
 
 
-def _tie_on_ref() -> Column:
-    return (_n(1) > 0) & (_n(0) == _n(1)) & (_allele(0) == _ref())
-
-
 def major() -> Column:
-    """Top allele; on a tie with the reference the other one."""
-    top = F.when(_tie_on_ref(), _allele(1)).otherwise(_allele(0))
-    return F.when(covered(), top).otherwise(".")
+    return F.col("major")
 
 
 def minor() -> Column:
-    second = F.when(_tie_on_ref(), _allele(0)).otherwise(_allele(1))
-    return F.when(covered() & (_n(1) > 0), second).otherwise("")
+    return F.col("minor")
 
 
 def purity() -> Column:
-    return _share(_n(0))
+    return F.col("purity")
 
 
 def ref_freq() -> Column:

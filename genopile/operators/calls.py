@@ -14,7 +14,7 @@ from genopile.config import Cutoffs
 from genopile.functions import alleles as A
 from genopile.functions.dna import fixed4
 
-KEYS = ("chrom", "tile", "pos")
+KEYS = ("chrom", "tile", "pos", "seg")
 
 
 def site_keys(df: DataFrame) -> list[str]:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from genopile.functions.once import with_once
 from genopile.operators.calls import fill_samples, site_keys
 from genopile.operators.pileup import PHRED_UNITS
 
@@ -35,8 +36,8 @@ def _with_alt(df: DataFrame, counts: dict[str, Column]) -> DataFrame:
         F.struct(F.when(F.upper("ref") == b, none).otherwise(n).alias("n"), F.lit(b).alias("base"))
         for b, n in counts.items()
     ]
-    top = df.withColumn("_top", F.greatest(*entries))
-    return top.withColumn("alt", F.when(F.col("_top.n") > 0, F.col("_top.base"))).drop("_top")
+    top = with_once(df, {"_top": F.greatest(*entries)})
+    return with_once(top, {"alt": F.when(F.col("_top.n") > 0, F.col("_top.base"))}).drop("_top")
 
 
 def _likelihoods(df: DataFrame) -> DataFrame:
@@ -48,9 +49,9 @@ def _likelihoods(df: DataFrame) -> DataFrame:
         "aa": _pick("ref", "err") + _pick("alt", "ok"),
     }
     phred = {g: F.floor((c + PHRED_UNITS // 2) / PHRED_UNITS).cast("bigint") for g, c in costs.items()}
-    raw = df.withColumns({f"_{g}": c for g, c in phred.items()})
+    raw = with_once(df, {f"_{g}": c for g, c in phred.items()})
     best = F.least("_rr", "_ra", "_aa")
-    return raw.withColumns({f"pl_{g}": F.col(f"_{g}") - best for g in costs}).drop(*(f"_{g}" for g in costs))
+    return with_once(raw, {f"pl_{g}": F.col(f"_{g}") - best for g in costs}).drop(*(f"_{g}" for g in costs))
 
 
 def genotype_text() -> Column:

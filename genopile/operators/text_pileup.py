@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from genopile.functions.alleles import COUNTERS, with_alleles
+from genopile.functions.once import with_once
 from genopile.functions.pileup_text import count_of, single_bases
 from genopile.operators.indels import attach_indels, indel_summary, text_indels
 
@@ -17,18 +18,14 @@ def parse_pileup(rows: DataFrame) -> DataFrame:
     that are no base only count in the depth.  A row of depth zero has no bases.
     """
     text = F.when(F.col("depth") > 0, single_bases(F.col("bases"))).otherwise("")
-    read = rows.withColumn("_text", text)
+    read = with_once(rows, {"_text": text})
     same = count_of(F.col("_text"), ".,")
     counts = {}
     for letter, counter in COUNTERS.items():
         direct = count_of(F.col("_text"), "*" if letter == "-" else letter)
         as_ref = F.when(F.upper("ref") == letter, same).otherwise(F.lit(0).cast("bigint"))
         counts[counter] = direct if letter == "-" else direct + as_ref
-    return (
-        read.withColumns(counts)
-        .withColumnRenamed("depth", "cov")
-        .drop("_text", "bases", "quals")
-    )
+    return with_once(read, counts).withColumnRenamed("depth", "cov").drop("_text", "bases", "quals")
 
 
 def text_calls(rows: DataFrame, indels: bool = False) -> DataFrame:
