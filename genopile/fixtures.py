@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genopile.functions.dna import reverse_complement
+from genopile.functions.once import with_once
 
 SAMPLES = ["s0", "s1", "s2"]
 
@@ -15,15 +18,30 @@ _MIN_TARGET = 200
 _WINDOW = 120
 
 
+@lru_cache(maxsize=256)
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@lru_cache(maxsize=256)
+def _few_splits(spark: SparkSession, sf_dir: str, name: str) -> bool:
+    """Whether a table is read by fewer tasks than there are cores."""
+    return _table(spark, sf_dir, name).rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
+
+
+def _spread(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table; a table of few splits is spread over the cores first."""
+    table = _table(spark, sf_dir, name).select(*columns)
+    if _few_splits(spark, sf_dir, name):
+        return table.repartition(spark.sparkContext.defaultParallelism)
+    return table
+
+
 def contigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(chrom, seq)``: every document's letters, as bases."""
     letters = F.lower(F.regexp_replace("text", "[^A-Za-z]", ""))
     return (
-        _table(spark, sf_dir, "documents")
+        _spread(spark, sf_dir, "documents", "doc_id", "text")
         .select(F.concat(F.lit("chr"), F.col("doc_id")).alias("chrom"), F.translate(letters, _LOWER, _BASES).alias("seq"))
         .filter(F.col("seq") != "")
     )
@@ -37,7 +55,8 @@ def _placed(spark: SparkSession, sf_dir: str) -> DataFrame:
     off = F.pmod(number * 37, F.length("seq") - (_MIN_TARGET - 1)).cast("int")
     targets = base.select("chrom", number.alias("doc_id"), off.alias("off"), F.substr("seq", off + 1, F.lit(_WINDOW)).alias("win"))
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
-    items = _table(spark, sf_dir, "lineitem").select(
+    columns = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"]
+    items = _spread(spark, sf_dir, "lineitem", *columns).select(
         "l_orderkey",
         "l_partkey",
         "l_suppkey",
@@ -90,18 +109,28 @@ def aln(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 6, F.concat(_cut(0, 10), _cut(14, 40)))
         .otherwise(_cut(0, 50))
     )
-    return placed.select(
+    return with_once(
+        placed.select("sample", F.col("name").alias("qname"), "l_linenumber", "qty", "w0", "chrom", "off", "hap", "qual"),
+        {
+            "flag": F.when(lost, 4).when(F.col("l_linenumber") % 2 == 0, 16).otherwise(0),
+            "rname": F.when(lost, "*").otherwise(F.col("chrom")),
+            "pos": F.when(lost, 0).otherwise(F.col("off") + F.col("w0")),
+            "mapq": F.when(lost, 0).otherwise(F.col("qty") + 10),
+            "cigar": F.when(lost, "*").otherwise(cigar),
+            "seq": F.coalesce(seq, F.lit("ACGTA" * 10)),
+        },
+    ).select(
         "sample",
-        F.col("name").alias("qname"),
-        F.when(lost, 4).when(F.col("l_linenumber") % 2 == 0, 16).otherwise(0).alias("flag"),
-        F.when(lost, "*").otherwise(F.col("chrom")).alias("rname"),
-        F.when(lost, 0).otherwise(F.col("off") + F.col("w0")).alias("pos"),
-        F.when(lost, 0).otherwise(F.col("qty") + 10).alias("mapq"),
-        F.when(lost, "*").otherwise(cigar).alias("cigar"),
+        "qname",
+        "flag",
+        "rname",
+        "pos",
+        "mapq",
+        "cigar",
         F.lit("*").alias("rnext"),
         F.lit(0).alias("pnext"),
         F.lit(0).alias("tlen"),
-        F.coalesce(seq, F.lit("ACGTA" * 10)).alias("seq"),
+        "seq",
         "qual",
     )
 
@@ -126,7 +155,7 @@ def pileup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pileup rows in long form, three samples per order."""
     n1 = F.col("o_totalprice").cast("bigint") % 16
     n2 = F.col("o_custkey") % 7
-    orders = _table(spark, sf_dir, "orders").select(
+    orders = _spread(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_totalprice").select(
         "o_orderkey",
         n1.cast("int").alias("n1"),
         n2.cast("int").alias("n2"),

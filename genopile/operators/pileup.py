@@ -16,6 +16,8 @@ dropped and no task sees a whole hot tile's reads.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +26,7 @@ from genopile.functions.alleles import COUNTERS
 from genopile.functions.cigar import cigar_blocks
 from genopile.operators.genome import tile_of
 from genopile.operators.reads import usable
-from genopile.operators.skew import SHARES, hot_keys
+from genopile.operators.skew import LIGHT, SHARES, hot_keys
 
 # Counter of each pileup letter; a deleted base is written ``*``.
 _LETTERS = {**{a: c for a, c in COUNTERS.items() if a != "-"}, "*": "n_del"}
@@ -35,6 +37,9 @@ _MAX_DEPTH_SPLITS = 64
 # on the order of addition.
 PHRED_UNITS = 1000
 
+# Fixed value: the highest quality a printable character can state.
+_TOP_QUALITY = 93
+
 
 def read_blocks(reads: DataFrame, keep: list[str]) -> DataFrame:
     """One row per CIGAR operation: ``keep`` columns, read fields and a struct ``b``."""
@@ -82,20 +87,15 @@ def _pieces(blocks: DataFrame, keep: list[str], tile: int, name: bool) -> DataFr
         "tile",
         lo.alias("start"),
         (hi - lo + 1).alias("size"),
-        F.substr("bases", skip, (hi - lo + 1).cast("int")).alias("bases"),
+        F.upper(F.substr("bases", skip, (hi - lo + 1).cast("int"))).alias("bases"),
         F.substr("quals", skip, (hi - lo + 1).cast("int")).alias("quals"),
     )
 
 
-def _error_cost(q: Column) -> Column:
-    """Phred cost of an error: the quality itself."""
-    return (q * PHRED_UNITS).cast("bigint")
-
-
 def _match_cost(q: Column) -> Column:
-    """Phred cost of a right base, -10 log10(1 - e)."""
-    wrong = F.pow(F.lit(10.0), -F.greatest(q, F.lit(1)) / F.lit(10.0))
-    return F.round(F.log10(F.lit(1.0) - wrong) * (-10 * PHRED_UNITS)).cast("bigint")
+    """Phred cost of a right base, -10 log10(1 - e), read from a constant list by quality."""
+    costs = [round(-10 * PHRED_UNITS * math.log10(1 - 10 ** (-max(n, 1) / 10))) for n in range(_TOP_QUALITY + 1)]
+    return F.get(F.array(*(F.lit(c).cast("bigint") for c in costs)), q)
 
 
 def _counters(quality: bool) -> list[str]:
@@ -105,19 +105,22 @@ def _counters(quality: bool) -> list[str]:
     return names
 
 
-def _base_values(options: PileupOptions, quality: bool) -> dict[str, Column]:
-    """What one base adds to each counter."""
-    base, q = F.upper("base"), F.ascii("qual") - 33
-    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    good = q >= options.min_base_qual
-    values = {"depth": F.when(good, one).otherwise(zero)}
+def _quality() -> Column:
+    return F.ascii("qual") - 33
+
+
+def _base_values(quality: bool) -> dict[str, Column]:
+    """What one base of sufficient quality adds to each counter."""
+    code = F.ascii("base")
+    zero = F.lit(0).cast("bigint")
+    values = {"depth": F.lit(1).cast("bigint")}
     for letter, counter in _LETTERS.items():
-        values[counter] = F.when(good & (base == letter), one).otherwise(zero)
+        values[counter] = (code == ord(letter)).cast("bigint")
     if quality:
+        q = _quality()
         for b in "ACGT":
-            hit = good & (base == b)
-            values[f"ok_{b.lower()}"] = F.when(hit, _match_cost(q)).otherwise(zero)
-            values[f"err_{b.lower()}"] = F.when(hit, _error_cost(q)).otherwise(zero)
+            values[f"ok_{b.lower()}"] = F.when(code == ord(b), _match_cost(q)).otherwise(zero)
+            values[f"err_{b.lower()}"] = F.when(code == ord(b), (q * PHRED_UNITS).cast("bigint")).otherwise(zero)
     return values
 
 
@@ -141,6 +144,7 @@ def pileup_counts(
     positions: DataFrame | None = None,
     tile: int = TILE,
     shares: int = SHARES,
+    light: int = LIGHT,
 ) -> DataFrame:
     """Counters per ``(chrom, tile, pos, sample)`` and any further grouping columns ``by``.
 
@@ -154,25 +158,25 @@ def pileup_counts(
         wanted = positions.select("chrom", tile_of(F.col("pos"), tile).alias("tile"))
         pieces = pieces.join(wanted, ["chrom", "tile"], "left_semi")
     keys = ["chrom", "tile", "pos", *keep]
-    values = _base_values(options, quality)
+    values = _base_values(quality)
+    good = _quality() >= options.min_base_qual
     names = _counters(quality)
     sums = [F.sum(v).alias(c) for c, v in values.items()]
 
     if options.max_depth:
         counted = _capped(pieces, keep, keys, options).groupBy(*keys).agg(*sums)
     else:
-        hot = F.broadcast(hot_keys(pieces, ["chrom", "tile"], F.col("size"), shares))
+        hot = F.broadcast(hot_keys(pieces, ["chrom", "tile"], F.col("size"), shares, light))
         cold = pieces.join(hot, ["chrom", "tile"], "left_anti")
-        early = _bases(pieces.join(hot, ["chrom", "tile"], "left_semi"), keep).groupBy(*keys).agg(*sums)
-        counted = _meet(cold, early, keep, keys, values, names)
-    counted = counted.filter(F.col("depth") > 0)
+        early = _bases(pieces.join(hot, ["chrom", "tile"], "left_semi"), keep).filter(good)
+        counted = _meet(cold, early.groupBy(*keys).agg(*sums), keep, keys, values, names, good)
     if positions is None:
         return counted
     listed = positions.select("chrom", "pos").withColumn("tile", tile_of(F.col("pos"), tile))
     return counted.join(listed, ["chrom", "tile", "pos"], "left_semi")
 
 
-def _meet(cold, early, keep, keys, values, names):
+def _meet(cold, early, keep, keys, values, names, good):
     """Shuffle cold pieces and ready counts together, then sum per position."""
     ready = early.select(
         *keep,
@@ -200,7 +204,7 @@ def _meet(cold, early, keep, keys, values, names):
         F.col("z.base").alias("base"),
         F.col("z.qual").alias("qual"),
     )
-    return single.groupBy(*keys).agg(
+    return single.filter(F.col("ready").isNotNull() | good).groupBy(*keys).agg(
         *(F.sum(F.coalesce(F.col(f"ready.{c}"), values[c])).alias(c) for c in names)
     )
 
@@ -222,7 +226,7 @@ def _capped(pieces, keep, keys, options):
         F.col("z.base").alias("base"),
         F.col("z.qual").alias("qual"),
     )
-    good = single.filter(F.ascii("qual") - 33 >= options.min_base_qual)
+    good = single.filter(_quality() >= options.min_base_qual)
     part = F.pmod(F.xxhash64("qname"), F.lit(_MAX_DEPTH_SPLITS))
     rank = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy("qname", "base"))
     some = good.withColumn("_part", part).withColumn("_rank", rank).filter(F.col("_rank") <= options.max_depth)

@@ -9,12 +9,18 @@ from pyspark.sql import functions as F
 # are fewer hot keys than this, whatever the data: the list may always be broadcast.
 SHARES = 4096
 
+# A key lighter than this is never hot; one task handles it whatever its share.
+LIGHT = 1 << 22
 
-def hot_keys(df: DataFrame, keys: list[str], weight: Column, shares: int = SHARES) -> DataFrame:
+
+def hot_keys(
+    df: DataFrame, keys: list[str], weight: Column, shares: int = SHARES, light: int = LIGHT
+) -> DataFrame:
     """Keys above ``1 / shares`` of the summed weight; fewer than ``shares`` rows.
 
     Counts are pre-aggregated on the map side, and the total is taken from the counts.
     """
     loads = df.groupBy(*keys).agg(F.sum(weight).alias("load"))
     total = loads.agg(F.sum("load")).scalar()
-    return loads.filter(F.col("load") * shares > total).select(*keys)
+    heavy = (F.col("load") * shares > total) & (F.col("load") > light)
+    return loads.filter(heavy).select(*keys)
