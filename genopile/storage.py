@@ -2,20 +2,29 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path for an intermediate table.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables: ``spark.checkpoint.dir``, else the warehouse.
 
-    The folder comes from ``spark.checkpoint.dir``; only where that is unset (a session of
-    one machine, as in tests) is a local folder made.
+    Both are read from the session.  On a cluster a local path is visible to one machine only,
+    so it is refused there when the cluster has named no checkpoint folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="genopile-")
-    return f"{base.rstrip('/')}/genopile/{name}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        return base.rstrip("/")
+    base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if not spark.sparkContext.master.startswith("local") and base.startswith("file:"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return base
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path for an intermediate table."""
+    return f"{shared_folder(spark)}/genopile/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
