@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from genopile.llm import credentials, host_rules
+from genopile.llm import credentials, host_rules, mixing, packing
 
 QUERIES = {
+    "op3_best_fit_packing": packing.query,
     "op6_host_rules": host_rules.query,
+    "op9_temperature_mixing": mixing.query,
     "op10_credential_links": credentials.query,
 }
