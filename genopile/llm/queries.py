@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from genopile.llm import credentials, host_rules, mixing, packing
+from genopile.llm import credentials, host_rules, mixing, packing, pivot_search
 
 QUERIES = {
     "op3_best_fit_packing": packing.query,
     "op6_host_rules": host_rules.query,
+    "op8_pivot_search": pivot_search.query,
     "op9_temperature_mixing": mixing.query,
     "op10_credential_links": credentials.query,
 }
