@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from genopile.llm import credentials, host_rules, mixing, packing, pivot_search, sharding, shingle_join
+from genopile.llm import credentials, host_rules, link_trust, mixing, packing, pivot_search, sharding, shingle_join
 
 QUERIES = {
     "op1_shingle_join": shingle_join.query,
     "op3_best_fit_packing": packing.query,
     "op4_label_shards": sharding.query,
+    "op5_link_trust": link_trust.query,
     "op6_host_rules": host_rules.query,
     "op8_pivot_search": pivot_search.query,
     "op9_temperature_mixing": mixing.query,
