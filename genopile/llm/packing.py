@@ -15,6 +15,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -47,7 +48,7 @@ class Packing:
 
 
 # A lower-cased word, then ASCII punctuation without an apostrophe: tokenized apart by any text.
-WORD_AND_MARKS = re.compile(rb"([a-z\x80-\xff]+)([!-&(-/:-@\[-`{-~]*)")
+WORD_AND_MARKS = re.compile(rb"^([a-z\x80-\xff]*)([!-&(-/:-@\[-`{-~]*)(.*)$", re.MULTILINE)
 
 
 class ChunkIds:
@@ -60,7 +61,7 @@ class ChunkIds:
     not count up to the words, each is tokenized alone.  At ``limit`` chunks the store starts anew.
     """
 
-    def __init__(self, path: str, limit: int = 300_000, joined: int = 256) -> None:
+    def __init__(self, path: str, limit: int = 600_000, joined: int = 256) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -71,19 +72,13 @@ class ChunkIds:
         self._clear()
 
     def _clear(self) -> None:
-        self.places: dict[bytes, int] = {}
+        self.places = _Places()
         self.marks: dict[bytes, list[int]] = {b"": []}
         self.starts, self.lengths, self.flat = array("q"), array("q"), array("I")
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _put(self, chunk: bytes, ids: list[int]) -> None:
-        self.places[chunk] = len(self.starts)
-        self.starts.append(len(self.flat))
-        self.lengths.append(len(ids))
-        self.flat.extend(ids)
-
     def _of_words(self, words: list[str]) -> list[list[int]]:
         groups = [words[i : i + self.joined] for i in range(0, len(words), self.joined)]
         out = []
@@ -96,41 +91,66 @@ class ChunkIds:
         return out
 
     def _add(self, chunks: list[bytes]) -> None:
-        single, parts = [], []
-        for chunk in chunks:
-            m = WORD_AND_MARKS.fullmatch(chunk)
-            if m and (word := m[1].decode("utf-8")).isalpha():
-                parts.append((chunk, word, m[2]))
-            else:
-                single.append(chunk)
-        unseen = list({tail for _, _, tail in parts if tail not in self.marks})
+        """Append the ids of new chunks, in the order in which they got their places."""
+        found = WORD_AND_MARKS.findall(b"\n".join(chunks))
+        single = [i for i, (word, _, rest) in enumerate(found) if rest or not word]
+        stems = list({word for word, _, _ in found})
+        odd, plain = [], []
+        for stem, text in zip(stems, b"\n".join(stems).decode("utf-8").split("\n")):
+            (plain if text.isalpha() else odd).append((stem, text))
+        ids_of = dict(zip([s for s, _ in plain], self._of_words([t for _, t in plain])))
+        odd = {stem for stem, _ in odd if stem}
+        if odd:
+            taken = set(single)
+            single += [i for i, (w, _, _) in enumerate(found) if w in odd and i not in taken]
+            ids_of.update((stem, []) for stem in odd)
+        unseen = list({tail for _, tail, _ in found} - self.marks.keys())
         self.marks.update(zip(unseen, self._encode([x.decode() for x in unseen])))
-        stems = list(dict.fromkeys(word for _, word, _ in parts))
-        ids_of = dict(zip(stems, self._of_words(stems)))
-        for chunk, word, tail in parts:
-            self._put(chunk, ids_of[word] + self.marks[tail])
-        for chunk, ids in zip(single, self._encode([c.decode("utf-8") for c in single])):
-            self._put(chunk, ids)
+        ids_of[b""] = []
+        marks = self.marks
+        each = [ids_of[w] + marks[t] if t else ids_of[w] for w, t, _ in found]
+        for i, ids in zip(single, self._encode([chunks[i].decode("utf-8") for i in single])):
+            each[i] = ids
+        sizes = np.fromiter(map(len, each), np.int64, len(each))
+        first = len(self.flat)
+        self.flat.extend(chain.from_iterable(each))
+        self.starts.frombytes((first + np.cumsum(sizes) - sizes).tobytes())
+        self.lengths.frombytes(sizes.tobytes())
 
     def of(self, texts: list[bytes]) -> list[np.ndarray]:
-        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
         if len(self.places) > self.limit:
             self._clear()
-        new = {c for chunks in split for c in chunks if c not in self.places}
-        if new:
-            self._add(list(new))
-        starts = np.frombuffer(self.starts, np.int64) if self.starts else np.empty(0, np.int64)
-        lengths = np.frombuffer(self.lengths, np.int64) if self.lengths else np.empty(0, np.int64)
-        flat = np.frombuffer(self.flat, np.uint32) if self.flat else np.empty(0, np.uint32)
-        out = []
-        for chunks in split:
-            at = np.fromiter(map(self.places.__getitem__, chunks), np.int64, len(chunks))
-            n = lengths[at]
-            ends = np.cumsum(n)
-            total = int(ends[-1]) if len(ends) else 0
-            out.append(flat[np.repeat(starts[at] - (ends - n), n) + np.arange(total)])
-        del starts, lengths, flat
-        return out
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        counts = np.fromiter(map(len, split), np.int64, len(split))
+        at = np.fromiter(
+            map(self.places.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum())
+        )
+        if self.places.new:
+            self._add(self.places.new)
+            self.places.new = []
+        if not len(at):
+            return [np.empty(0, np.uint32) for _ in texts]
+        n = np.frombuffer(self.lengths, np.int64)[at]
+        ends = np.cumsum(n)
+        steps = np.arange(int(ends[-1]))
+        ids = np.frombuffer(self.flat, np.uint32)[
+            np.repeat(np.frombuffer(self.starts, np.int64)[at] - (ends - n), n) + steps
+        ]
+        cuts = np.r_[0, ends][np.cumsum(counts)]
+        return np.split(ids, cuts[:-1])
+
+
+class _Places(dict):
+    """Numbers chunks as they are first looked up, and lists the new ones."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, chunk: bytes) -> int:
+        place = self[chunk] = len(self)
+        self.new.append(chunk)
+        return place
 
 
 def _blocks(texts: list[bytes | None], most: int = 1 << 21) -> Iterator[list[bytes]]:
@@ -148,7 +168,7 @@ def _blocks(texts: list[bytes | None], most: int = 1 << 21) -> Iterator[list[byt
 def _cut(path: str, options: Packing, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = ChunkIds(path)
-        for batch in batches:
+        for batch in (large.slice(i, 256) for large in batches for i in range(0, large.num_rows, 256)):
             at = 0
             for block in _blocks(batch.column(1).to_pylist()):
                 doc, piece, start, length, crc, kept = [], [], [], [], [], []
