@@ -2,7 +2,17 @@
 
 from __future__ import annotations
 
-from genopile.llm import credentials, host_rules, link_trust, mixing, packing, pivot_search, sharding, shingle_join
+from genopile.llm import (
+    credentials,
+    host_rules,
+    link_trust,
+    mixing,
+    packing,
+    pivot_search,
+    sharding,
+    shingle_join,
+    tool_calls,
+)
 
 QUERIES = {
     "op1_shingle_join": shingle_join.query,
@@ -10,6 +20,7 @@ QUERIES = {
     "op4_label_shards": sharding.query,
     "op5_link_trust": link_trust.query,
     "op6_host_rules": host_rules.query,
+    "op7_tool_calls": tool_calls.query,
     "op8_pivot_search": pivot_search.query,
     "op9_temperature_mixing": mixing.query,
     "op10_credential_links": credentials.query,
