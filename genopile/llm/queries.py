@@ -9,6 +9,7 @@ from genopile.llm import (
     mixing,
     packing,
     pivot_search,
+    pu_quality,
     sharding,
     shingle_join,
     tool_calls,
@@ -16,6 +17,7 @@ from genopile.llm import (
 
 QUERIES = {
     "op1_shingle_join": shingle_join.query,
+    "op2_pu_quality": pu_quality.query,
     "op3_best_fit_packing": packing.query,
     "op4_label_shards": sharding.query,
     "op5_link_trust": link_trust.query,
