@@ -28,12 +28,12 @@ class Shards:
     group_rows: int = 1 << 15
 
 
-def _homes(rows: DataFrame) -> DataFrame:
-    """``link``, ``home``: the shard with most of a link's documents, ties by a hash.
+def _homes(rows: DataFrame, opened: list[int]) -> DataFrame:
+    """``link``, ``home``: the open shard with most of a link's documents, ties by a hash.
 
     Copies are counted map-side, so a large link costs one row a shard and task.
     """
-    per = rows.filter("link is not null and fixed is null")
+    per = rows.filter("link is not null and fixed is null").filter(F.col("shard").isin(opened))
     per = per.groupBy("link", "shard").agg(F.count(F.lit(1)).alias("n"))
     tie = F.xxhash64("link", "shard")
     best = F.max(F.struct("n", tie.alias("tie"), "shard"))
@@ -115,14 +115,23 @@ def assign(
         ),
         "shards-0",
     )
+    # Shards that large groups nearly fill are closed to the others.
+    fixed = {r["fixed"]: r["count"] for r in state.groupBy("fixed").count().collect()}
+    full = 0.8 * total / options.count
+    every = range(options.count)
+    opened = [i for i in every if fixed.get(i, 0) < full] or list(every)
+    shards = F.array(*(F.lit(i) for i in opened))
+    some = F.get(shards, F.pmod(F.xxhash64("link"), F.lit(len(opened))).cast("int"))
     for number in range(options.rounds):
         aimed = materialize(
-            state.join(_homes(state), "link", "left").select(
+            state.join(_homes(state, opened), "link", "left").select(
                 "row",
                 "link",
                 "fixed",
                 "shard",
-                F.coalesce("fixed", "home", "shard").alias("home"),
+                F.coalesce("fixed", "home", F.when(F.col("link").isNotNull(), some), "shard").alias(
+                    "home"
+                ),
                 F.col("link").isNull().alias("free"),
             ),
             "shard-aims",
