@@ -15,43 +15,49 @@ CTES = {
                  translate(lower(regexp_replace(text, '[^A-Za-z]', '', 'g')),
                            'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') as seq
           from documents) where seq <> ''""",
+    "sized": """
+        select *, case when size < 109 then 1 else cast(ceil((size - 109) / 60) as bigint) + 1 end as n_wins
+        from (select chrom, cast(substr(chrom, 4) as bigint) as doc_id, seq, length(seq) as size from contigs)""",
+    "windows": """
+        select doc_id, i, chrom, least(i * 60, greatest(0, size - 109)) as off, substr(seq, (least(i * 60, greatest(0, size - 109)) + 1)::int, 109) as win
+        from (select *, unnest(range(n_wins)) as i from sized)""",
     "placed": """
-        select concat('s', l_suppkey % 3) as sample,
-               concat('r', concat_ws('.', l_orderkey, l_partkey, l_suppkey, l_linenumber, cast(l_quantity as int))) as name,
-               l_linenumber, cast(l_quantity as int) as qty,
-               cast((l_orderkey * 31 + l_linenumber * 7) % 60 + 1 as int) as w0, t.chrom, t.off,
-               case when l_suppkey % 3 = 1 or (l_suppkey % 3 = 2 and l_linenumber % 2 = 0)
-                    then replace(win, 'CGA', 'CTA') else win end as hap,
-               repeat(substr('+5:?DIN', l_linenumber, 1), 25) || repeat('I', 25) as qual
-        from lineitem l
-        left join (select chrom, doc_id, off, substr(seq, off + 1, 120) as win
-                   from (select chrom, seq, cast(substr(chrom, 4) as bigint) as doc_id,
-                                cast((cast(substr(chrom, 4) as bigint) * 37) % (length(seq) - 199) as int) as off
-                         from contigs where length(seq) >= 200)) t
-          on t.doc_id = l.l_partkey % (select count(*) from documents)""",
+        select sample, name, l_linenumber, qty, l.w0, coalesce(l.size < 109, false) as short, t.chrom, t.off,
+               case when other then replace(win, 'CGA', 'CTA') else win end as hap, qual
+        from (select concat('s', l_suppkey % 3) as sample,
+                     concat('r', concat_ws('.', l_orderkey, l_partkey, l_suppkey, l_linenumber, cast(l_quantity as int))) as name,
+                     l_linenumber, cast(l_quantity as int) as qty, z.doc_id, z.size,
+                     cast((l_orderkey * 31 + l_linenumber * 7) % least(60, case when z.size < 109 then z.size else 60 end) + 1 as int) as w0,
+                     (z.n_wins * h * h * h) // 1000000000 as i,
+                     l_suppkey % 3 = 1 or (l_suppkey % 3 = 2 and l_linenumber % 2 = 0) as other,
+                     repeat(substr('+5:?DIN', l_linenumber, 1), 25) || repeat('I', 25) as qual
+              from (select *, ((l_orderkey * 31 + l_linenumber * 7 + l_suppkey * 13) % 1000)::bigint as h from lineitem) y
+              left join sized z on z.doc_id = y.l_partkey % (select count(*) from documents)) l
+        left join windows t on t.doc_id = l.doc_id and t.i = l.i""",
     "aln": """
         select sample, name as qname,
                case when lost then 4 when l_linenumber % 2 = 0 then 16 else 0 end as flag,
                case when lost then '*' else chrom end as rname,
                case when lost then 0 else off + w0 end as pos,
                case when lost then 0 else qty + 10 end as mapq,
-               case when lost then '*' when kind = 1 then '20M3D30M' when kind = 2 then '25M2I23M'
+               case when lost then '*' when short then length(substr(hap, w0, 50)) || 'M' when kind = 1 then '20M3D30M' when kind = 2 then '25M2I23M'
                     when kind = 3 then '5S45M' when kind = 5 then '3H50M' when kind = 6 then '10M4N40M'
                     when kind = 7 then '20=1X29M' else '50M' end as cigar,
                '*' as rnext, 0 as pnext, 0 as tlen,
-               coalesce(case when kind = 1 then substr(hap, w0, 20) || substr(hap, w0 + 23, 30)
+               coalesce(case when short then substr(hap, w0, 50) when kind = 1 then substr(hap, w0, 20) || substr(hap, w0 + 23, 30)
                              when kind = 2 then substr(hap, w0, 25) || 'GT' || substr(hap, w0 + 25, 23)
                              when kind = 3 then 'AAAAA' || substr(hap, w0, 45)
                              when kind = 6 then substr(hap, w0, 10) || substr(hap, w0 + 14, 40)
                              else substr(hap, w0, 50) end, repeat('ACGTA', 10)) as seq,
-               qual
+               substr(qual, 1, length(coalesce(case when short then substr(hap, w0, 50) end, repeat('A', 50)))) as qual
         from (select *, qty = 50 or chrom is null as lost, w0 % 8 as kind from placed)""",
     "pairs": """
-        select sample, name as header, coalesce(substr(hap, w0, 50), repeat('ACGTA', 10)) as seq1, qual as qual1,
-               case when l_linenumber = 5 then ''
-                    else coalesce(translate(reverse(substr(hap, w0 + 10, 50)), 'ACGT', 'TGCA'), repeat('TACGT', 10)) end as seq2,
-               case when l_linenumber = 5 then '' else reverse(qual) end as qual2
-        from placed""",
+        select sample, header, seq1, substr(qual, 1, length(seq1)) as qual1, seq2, reverse(substr(qual, 1, length(seq2))) as qual2
+        from (select sample, name as header, qual, coalesce(substr(hap, w0, 50), repeat('ACGTA', 10)) as seq1,
+                     case when l_linenumber = 5 then ''
+                          else coalesce(translate(reverse(substr(hap, case when short then w0 else w0 + 10 end, 50)), 'ACGT', 'TGCA'),
+                                        repeat('TACGT', 10)) end as seq2
+              from placed)""",
     "pile": """
         select concat('chr', o_orderkey % 20) as chrom, o_orderkey + 1 as pos,
                case when o_orderkey % 97 = 0 then 'N' when o_orderkey % 89 = 0 then lower(r) else r end as ref,
@@ -364,37 +370,35 @@ CTES = {
     "kcount": """
         select kmer, count(*) as n, arg_min(chrom, (chrom_ord, pos)) as chrom, arg_min(pos, (chrom_ord, pos)) as pos
         from refk join (select chrom, chrom_ord from dict) using (chrom) group by all""",
-    "kindex": """
-        select kmer, r.chrom, r.pos, r.len, true as rare from refk r join (select kmer from kcount where n <= 8) using (kmer)
-        union all select kmer, k.chrom, k.pos, d.len, false from kcount k join dict d using (chrom) where n > 8""",
     "mates": """
         select sample, header, case when seq2 = '' then 0 else 1 end as mate, seq1 as seq, qual1 as qual from pairs
         union all select sample, header, 2, seq2, qual2 from pairs where seq2 <> ''""",
     "seeds": """
-        select sample, header, mate, strand, len, o, substr(s, (o + 1)::int, 20) as kmer
-        from (select *, length(s) as len, unnest(range(0, length(s) - 19, 10)) as o
-              from (select sample, header, mate, '+' as strand, seq as s from mates
-                    union all select sample, header, mate, '-', translate(reverse(seq), 'ACGT', 'TGCA') from mates))""",
+        select read, strand, len, o, substr(s, (o + 1)::int, 20) as kmer
+        from (select *, length(s) as len, unnest(list_distinct(list_concat(range(0, length(s) - 19, 10), [length(s) - 20]))) as o
+              from (select distinct seq as read, '+' as strand, seq as s from mates where length(seq) >= 20
+                    union all select distinct seq, '-', translate(reverse(seq), 'ACGT', 'TGCA') from mates where length(seq) >= 20))""",
     "votes": """
-        select sample, header, mate, strand, rare, chrom, k.pos - o as start, count(*) as votes
-        from seeds s join kindex k using (kmer)
+        select read, strand, chrom, k.pos - o as start, count(*) as votes
+        from seeds s join refk k using (kmer)
         where k.pos - o >= 1 and k.pos - o + s.len - 1 <= k.len group by all""",
     "bestp": """
-        select sample, header, mate, strand, chrom, start,
-               case when not rare then 0
-                    else floor((votes - coalesce(case when next_rare then next_votes else 0 end, 0)) * 42 / votes)::int end as mapq
-        from (select v.*, row_number() over w as rk, lead(votes) over w as next_votes, lead(rare) over w as next_rare
+        select read, strand, chrom, start, floor((votes - coalesce(next_votes, 0)) * 42 / votes)::int as mapq
+        from (select v.*, row_number() over w as rk, lead(votes) over w as next_votes
               from votes v join (select chrom, chrom_ord from dict) d using (chrom)
-              window w as (partition by sample, header, mate order by rare desc, votes desc, chrom_ord, start, strand))
-        where rk = 1""",
+              window w as (partition by read order by votes desc, chrom_ord, start, strand))
+        join contigs c using (chrom)
+        where rk = 1 and 5 * len(list_filter(list_zip(
+            string_split(case when strand = '-' then translate(reverse(read), 'ACGT', 'TGCA') else read end, ''),
+            string_split(substr(c.seq, start::int, length(read)), '')), lambda p: p[1] <> p[2])) <= length(read)""",
     "matep": """
         select m.sample, m.header, m.mate, m.seq, m.qual, p.strand, p.chrom, p.start, p.mapq, length(m.seq) as size,
                o.strand as ostrand, o.chrom as ochrom, o.start as ostart, length(om.seq) as osize,
                greatest(p.start + length(m.seq), o.start + length(om.seq)) - least(p.start, o.start) as span,
                coalesce(p.chrom = o.chrom, false) as together
-        from mates m left join bestp p using (sample, header, mate)
+        from mates m left join bestp p on p.read = m.seq
         left join mates om on om.sample = m.sample and om.header = m.header and m.mate > 0 and om.mate = 3 - m.mate
-        left join bestp o on o.sample = m.sample and o.header = m.header and m.mate > 0 and o.mate = 3 - m.mate""",
+        left join bestp o on o.read = om.seq""",
 }
 
 _T = "select chrom, pos, ref, sample, {} from {}"
@@ -403,8 +407,8 @@ RESULTS = {
     "read_pairs": "select sample, header, seq1, qual1, seq2, qual2 from pairs",
     "tag_samples": "select sample, header from pairs",
     "fastq_to_pairs": """
-        select sample, header, seq1, qual1, case when sample = 's2' then '' else seq2 end as seq2,
-               case when sample = 's2' then '' else qual2 end as qual2 from pairs""",
+        select sample, header, seq1, qual1, seq2, qual2 from pairs
+        union all select 'single', header, seq1, qual1, '', '' from pairs where seq2 = ''""",
     "fasta_contigs": """
         select chrom, length(seq)::bigint as len,
                (length(seq) - length(replace(seq, 'A', '')))::bigint as n_a, (length(seq) - length(replace(seq, 'C', '')))::bigint as n_c,
@@ -460,7 +464,9 @@ RESULTS = {
     "key_by_pos": "select sample, qname, rname, cast(regexp_extract(rname, '\\d+') as bigint) as chrom_num, pos from mapped",
     "min_mapq": "select sample, qname, mapq from aln where mapq >= 30",
     "region_filter": """
-        select sample, qname, rname, pos, cigar from aln where rname = 'chr7' and pos <= 5000 and pos + 60 >= 1""",
+        select sample, qname, rname, pos, cigar from aln
+        where rname = 'chr7' and pos <= 500
+          and pos - 1 + (select sum(x::int)::int from (select unnest(regexp_extract_all(cigar, '([0-9]+)[MDN=X]', 1)) as x)) >= 100""",
     "at_positions": "select chrom, pos, ref, sample, cov from tsite where (chrom, pos) in (select (chrom, pos) from listed)",
     "pileup_opts": """
         with picked as (select * from mapped where mapq >= 15 and (flag & 20) = 0),
@@ -480,8 +486,7 @@ RESULTS = {
         select chrom, pos, sample, count(*) as depth, count(*) filter (base = 'A') as n_a, count(*) filter (base = 'C') as n_c,
                count(*) filter (base = 'G') as n_g, count(*) filter (base = 'T') as n_t, count(*) filter (base = 'N') as n_n,
                count(*) filter (base = '*') as n_del
-        from (select *, row_number() over (partition by chrom, pos, sample order by qname) as rk from each_base where bq >= 25)
-        where rk <= 3 group by all""",
+        from each_base where bq >= 25 group by all""",
     "cum_offsets": 'select chrom, chrom_ord, off as "offset" from dict',
     "cum_pos": "select sample, qname, rname, pos, cum_pos from cum",
     "genome_sort": "select sample, qname, chrom_ord, pos from cum",
@@ -497,7 +502,7 @@ RESULTS = {
         select sample, header, count(*) filter (a <> b) as mismatches
         from (select m.sample, m.qname as header, unnest(string_split(m.seq, '')) as a,
                      unnest(string_split(substr(c.seq, m.pos, length(m.seq)), '')) as b
-              from aln m join contigs c on c.chrom = m.rname where m.cigar = '50M') group by all""",
+              from aln m join contigs c on c.chrom = m.rname where regexp_matches(m.cigar, '^([0-9]+H)?([0-9]+[M=X])+$')) group by all""",
     "seed_align": """
         select sample, header as qname,
                (case when chrom is null then 4 else 0 end + case when strand = '-' then 16 else 0 end

@@ -97,7 +97,7 @@ def _write_fastq(pairs: DataFrame, path: str, mate: int, compression: str) -> No
 
 @query
 def fastq_to_pairs(spark, d):
-    """Two-mate FASTQ, plain and gzipped, and a single-end sample, back to read pairs."""
+    """Two-mate FASTQ, plain and gzipped, and the single-end reads on their own, back to pairs."""
     path = scratch(spark, "fastq")
     pairs = fx.read_pairs(spark, d)
     first, second = {}, {}
@@ -105,9 +105,10 @@ def fastq_to_pairs(spark, d):
         own = pairs.filter(F.col("sample") == s)
         first[s] = f"{path}/{s}_1.fastq"
         _write_fastq(own, first[s], 1, compression)
-        if s != "s2":
-            second[s] = f"{path}/{s}_2.fastq"
-            _write_fastq(own, second[s], 2, compression)
+        second[s] = f"{path}/{s}_2.fastq"
+        _write_fastq(own, second[s], 2, compression)
+    first["single"] = f"{path}/single_1.fastq"
+    _write_fastq(pairs.filter("seq2 = ''"), first["single"], 1, "none")
     return read_source.fastq_to_pairs(spark, first, second)
 
 
@@ -142,7 +143,7 @@ def position_list(spark, d):
 
 @query
 def manifest_missing(spark, d):
-    """A manifest of one file per sample and customer market segment, some never written."""
+    """A manifest of one file per supplier, of which those of the samples are written."""
     path = scratch(spark, "manifest")
     fx.read_pairs(spark, d).select(F.col("header").alias("value"), "sample").write.partitionBy("sample").text(f"{path}/files")
     supplier = spark.read.parquet(f"{d}/supplier.parquet")
@@ -243,7 +244,8 @@ def matrix_file(spark, d):
     """The matrix written as text with a header and read back."""
     path = scratch(spark, "matrix")
     var_sink.write_matrix(calls.matrix(calls.called_sites(_text(spark, d), SAMPLES), SAMPLES), path)
-    return spark.read.csv(path, sep="\t", header=True)
+    head = spark.read.text(f"{path}/header").first()["value"].split("\t")
+    return spark.read.csv(f"{path}/records", sep="\t", schema=", ".join(f"`{c}` string" for c in head))
 
 
 @query
@@ -282,7 +284,7 @@ def min_mapq(spark, d):
 
 @query
 def region_filter(spark, d):
-    found = reads.region_reads(fx.aln(spark, d), "chr7", 1, 5000)
+    found = reads.region_reads(fx.aln(spark, d), "chr7", 100, 500)
     return found.select("sample", "qname", "rname", "pos", "cigar")
 
 
@@ -294,8 +296,8 @@ def at_positions(spark, d):
 
 @query
 def pileup_opts(spark, d):
-    """Pileup with other settings, capped at three reads per position."""
-    options = PileupOptions(min_mapq=15, min_base_qual=25, skip_flags=0x4 | 0x10, max_depth=3)
+    """Pileup with other settings."""
+    options = PileupOptions(min_mapq=15, min_base_qual=25, skip_flags=0x4 | 0x10)
     return pileup_counts(fx.aln(spark, d), options).select("chrom", "pos", "sample", "depth", *COUNTS)
 
 
@@ -356,21 +358,21 @@ def kmer_repeats(spark, d):
 
 
 def _votes(spark, d) -> DataFrame:
-    index = align.seed_index(align.reference_kmers(_tiles(spark, d), _contigs(spark, d)))
-    return align.diagonal_votes(align.read_seeds(align.mates(fx.read_pairs(spark, d))), index)
+    reads = align.sequences(align.mates(fx.read_pairs(spark, d)))
+    return align.diagonal_votes(align.read_seeds(reads), align.reference_kmers(_tiles(spark, d), _contigs(spark, d)))
 
 
 @query
 def diag_votes(spark, d):
-    return _votes(spark, d).select("sample", "header", "mate", "strand", "rare", "chrom", "start", "votes")
+    return _votes(spark, d).select("read", "strand", "chrom", "start", "votes")
 
 
 @query
 def mismatches(spark, d):
-    """Mismatches of aligned reads on the window they start at, CIGAR ``50M`` only."""
-    aln = fx.aln(spark, d).filter(F.col("cigar") == "50M")
-    placed = aln.select("sample", F.col("qname").alias("header"), F.lit(0).alias("mate"), "rname", F.col("pos").cast("bigint").alias("pos"), "seq")
-    return align.mismatches(placed, _tiles(spark, d)).select("sample", "header", "mismatches")
+    """Mismatches of reads aligned without gaps."""
+    aln = fx.aln(spark, d).filter(F.col("cigar").rlike("^([0-9]+H)?([0-9]+[M=X])+$"))
+    placed = aln.select("sample", F.col("qname").alias("header"), "rname", F.col("pos").cast("bigint").alias("pos"), "seq")
+    return align.mismatches(placed, _tiles(spark, d), ["sample", "header"])
 
 
 @query

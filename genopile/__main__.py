@@ -6,8 +6,10 @@
 from __future__ import annotations
 
 import argparse
+import re
 
 from genopile.config import Cutoffs, PileupOptions
+from genopile.operators.align import MAX_INSERT, MAX_MISMATCH
 from genopile.plans.modes import Run, run
 from genopile.session import session
 from genopile.sources import tables
@@ -28,10 +30,11 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--indels", action="store_true")
     p.add_argument("--vcf", action="store_true")
     p.add_argument("--positions", help="position list; genotypes these positions only")
-    p.add_argument("--region", help="CHROM:FROM-TO")
+    p.add_argument("--region", help="CHROM, CHROM:FROM- or CHROM:FROM-TO")
     p.add_argument("--seed-length", type=int, default=20)
     p.add_argument("--seed-stride", type=int, default=10)
-    p.add_argument("--max-hits", type=int, default=8)
+    p.add_argument("--max-insert", type=int, default=MAX_INSERT, help="largest span of a proper pair")
+    p.add_argument("--max-mismatch", type=float, default=MAX_MISMATCH, help="largest share of unlike bases")
     for owner in (Cutoffs(), PileupOptions()):
         for key, value in vars(owner).items():
             flag = "--" + key.replace("_", "-")
@@ -42,14 +45,17 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+def parse_region(text: str) -> tuple[str, int, int]:
+    """``CHROM``, ``CHROM:FROM-`` or ``CHROM:FROM-TO``; open ends reach to the contig's ends."""
+    match = re.fullmatch(r"(.+?)(?::([\d,]*)-([\d,]*))?", text)
+    chrom, lo, hi = match.groups()
+    number = lambda x, default: int(x.replace(",", "")) if x else default
+    return chrom, number(lo, 1), number(hi, 2**31 - 1)
+
+
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = session(args.name)
-    region = None
-    if args.region:
-        chrom, _, span = args.region.rpartition(":")
-        lo, _, hi = span.partition("-")
-        region = (chrom, int(lo), int(hi))
     job = Run(
         paths=args.reads,
         reference=args.reference,
@@ -64,12 +70,13 @@ def main(argv: list[str] | None = None) -> None:
         indels=args.indels,
         vcf=args.vcf,
         positions=tables.positions(spark, args.positions) if args.positions else None,
-        region=region,
+        region=parse_region(args.region) if args.region else None,
         cutoffs=Cutoffs(**{k: getattr(args, k) for k in vars(Cutoffs())}),
         options=PileupOptions(**{k: getattr(args, k) for k in vars(PileupOptions())}),
         seed_length=args.seed_length,
         seed_stride=args.seed_stride,
-        max_hits=args.max_hits,
+        max_insert=args.max_insert,
+        max_mismatch=args.max_mismatch,
     )
     run(spark, job)
 

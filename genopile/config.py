@@ -32,12 +32,10 @@ class PileupOptions:
     """Which reads and bases enter the pileup.
 
     ``skip_flags`` is a SAM flag mask (unmapped, secondary, failed and duplicate reads by
-    default).  ``max_depth`` keeps the first reads by name at each position; it is off
-    unless asked for.
+    default).
     """
 
     min_mapq: int = 30
     min_base_qual: int = 13
     skip_flags: int = 0x4 | 0x100 | 0x200 | 0x400
     count_orphans: bool = False
-    max_depth: int | None = None

@@ -14,8 +14,9 @@ SAMPLES = ["s0", "s1", "s2"]
 
 _LOWER = "abcdefghijklmnopqrstuvwxyz"
 _BASES = "ACGTACGTACGTACGTACGTACGTAC"
-_MIN_TARGET = 200
-_WINDOW = 120
+# Reads of one start window reach this far; windows follow each other by the starts they hold.
+_WINDOW = 109
+_STARTS = 60
 
 
 @lru_cache(maxsize=256)
@@ -48,12 +49,20 @@ def contigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _placed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each line item with its contig's target window and its start in it."""
+    """Each line item with a window of its contig and its start in it.
+
+    Windows cover a contig whole and the last one ends with it.  A contig shorter than a window
+    is one window.  Early windows get more line items, so that some positions are deep.
+    """
     docs = _table(spark, sf_dir, "documents")
-    base = contigs(spark, sf_dir).filter(F.length("seq") >= _MIN_TARGET)
     number = F.substr("chrom", F.lit(4)).cast("bigint")
-    off = F.pmod(number * 37, F.length("seq") - (_MIN_TARGET - 1)).cast("int")
-    targets = base.select("chrom", number.alias("doc_id"), off.alias("off"), F.substr("seq", off + 1, F.lit(_WINDOW)).alias("win"))
+    size = F.length("seq")
+    n_wins = F.when(size < _WINDOW, 1).otherwise(F.ceil((size - _WINDOW) / _STARTS) + 1).cast("bigint")
+    base = contigs(spark, sf_dir).select("chrom", number.alias("doc_id"), "seq", size.alias("size"), n_wins.alias("n_wins"))
+    off = F.least(F.col("i") * _STARTS, F.greatest(F.lit(0), F.col("size") - _WINDOW)).cast("int")
+    windows = base.withColumn("i", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_wins") - 1))).select(
+        "doc_id", "i", "chrom", off.alias("off"), F.substr("seq", off + 1, F.lit(_WINDOW)).alias("win")
+    )
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
     columns = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"]
     items = _spread(spark, sf_dir, "lineitem", *columns).select(
@@ -63,18 +72,27 @@ def _placed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_linenumber",
         F.col("l_quantity").cast("int").alias("qty"),
         F.pmod(F.col("l_partkey"), n_docs).alias("doc_id"),
-        (F.pmod(F.col("l_orderkey") * 31 + F.col("l_linenumber") * 7, F.lit(60)) + 1).cast("int").alias("w0"),
+        (F.col("l_orderkey") * 31 + F.col("l_linenumber") * 7).alias("mark"),
+        F.pmod(F.col("l_orderkey") * 31 + F.col("l_linenumber") * 7 + F.col("l_suppkey") * 13, F.lit(1000)).alias("h"),
+    )
+    items = items.join(base.select("doc_id", "size", "n_wins"), "doc_id", "left").withColumns(
+        {
+            "i": F.expr("(n_wins * h * h * h) div 1000000000"),
+            "short": F.col("size") < _WINDOW,
+            "w0": (F.pmod(F.col("mark"), F.least(F.lit(_STARTS), F.when(F.col("size") < _WINDOW, F.col("size")).otherwise(_STARTS))) + 1).cast("int"),
+        }
     )
     name = F.concat(F.lit("r"), F.concat_ws(".", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "qty"))
     alt = F.replace("win", F.lit("CGA"), F.lit("CTA"))
     kind = F.pmod(F.col("l_suppkey"), F.lit(3))
     other = (kind == 1) | ((kind == 2) & (F.col("l_linenumber") % 2 == 0))
-    return items.join(targets, "doc_id", "left").select(
+    return items.join(windows, ["doc_id", "i"], "left").select(
         F.concat(F.lit("s"), kind).alias("sample"),
         name.alias("name"),
         "l_linenumber",
         "qty",
         "w0",
+        F.coalesce("short", F.lit(False)).alias("short"),
         "chrom",
         "off",
         F.when(other, alt).otherwise(F.col("win")).alias("hap"),
@@ -94,7 +112,8 @@ def aln(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("w0") % 8
     lost = (F.col("qty") == 50) | F.col("chrom").isNull()
     cigar = (
-        F.when(kind == 1, "20M3D30M")
+        F.when(F.col("short"), F.concat(F.length(_cut(0, 50)), F.lit("M")))
+        .when(kind == 1, "20M3D30M")
         .when(kind == 2, "25M2I23M")
         .when(kind == 3, "5S45M")
         .when(kind == 5, "3H50M")
@@ -103,14 +122,15 @@ def aln(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("50M")
     )
     seq = (
-        F.when(kind == 1, F.concat(_cut(0, 20), _cut(23, 30)))
+        F.when(F.col("short"), _cut(0, 50))
+        .when(kind == 1, F.concat(_cut(0, 20), _cut(23, 30)))
         .when(kind == 2, F.concat(_cut(0, 25), F.lit("GT"), _cut(25, 23)))
         .when(kind == 3, F.concat(F.lit("AAAAA"), _cut(0, 45)))
         .when(kind == 6, F.concat(_cut(0, 10), _cut(14, 40)))
         .otherwise(_cut(0, 50))
     )
     return with_once(
-        placed.select("sample", F.col("name").alias("qname"), "l_linenumber", "qty", "w0", "chrom", "off", "hap", "qual"),
+        placed.select("sample", F.col("name").alias("qname"), "l_linenumber", "qty", "w0", "short", "chrom", "off", "hap", "qual"),
         {
             "flag": F.when(lost, 4).when(F.col("l_linenumber") % 2 == 0, 16).otherwise(0),
             "rname": F.when(lost, "*").otherwise(F.col("chrom")),
@@ -131,7 +151,7 @@ def aln(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0).alias("pnext"),
         F.lit(0).alias("tlen"),
         "seq",
-        "qual",
+        F.substr("qual", F.lit(1), F.length("seq")).alias("qual"),
     )
 
 
@@ -140,15 +160,20 @@ def read_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = _placed(spark, sf_dir)
     single = F.col("l_linenumber") == 5
     first = F.coalesce(_cut(0, 50), F.lit("ACGTA" * 10))
-    second = F.coalesce(reverse_complement(_cut(10, 50)), F.lit("TACGT" * 10))
-    return placed.select(
+    mate = F.when(F.col("short"), _cut(0, 50)).otherwise(_cut(10, 50))
+    second = F.coalesce(reverse_complement(mate), F.lit("TACGT" * 10))
+    both = placed.select(
         "sample",
         F.col("name").alias("header"),
+        "qual",
         first.alias("seq1"),
-        F.col("qual").alias("qual1"),
         F.when(single, "").otherwise(second).alias("seq2"),
-        F.when(single, "").otherwise(F.reverse("qual")).alias("qual2"),
     )
+    quals = {
+        "qual1": F.substr("qual", F.lit(1), F.length("seq1")),
+        "qual2": F.reverse(F.substr("qual", F.lit(1), F.length("seq2"))),
+    }
+    return both.withColumns(quals).select("sample", "header", "seq1", "qual1", "seq2", "qual2")
 
 
 def pileup(spark: SparkSession, sf_dir: str) -> DataFrame:

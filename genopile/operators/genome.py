@@ -69,7 +69,9 @@ def with_cum_pos(rows: DataFrame, contigs: DataFrame, chrom: str = "rname") -> D
 
 
 def genome_sort(rows: DataFrame) -> DataFrame:
-    return rows.orderBy("chrom_ord", "pos")
+    """Genome order; sample and read name break ties, so a deep position can be split."""
+    ties = [c for c in ("sample", "qname") if c in rows.columns]
+    return rows.orderBy("chrom_ord", "pos", *ties)
 
 
 def ref_bases(positions: DataFrame, tiles: DataFrame, tile: int = TILE) -> DataFrame:

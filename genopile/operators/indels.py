@@ -18,8 +18,9 @@ def pileup_indels(
     options: PileupOptions = PileupOptions(),
     by: tuple[str, ...] = (),
     tile: int = TILE,
+    positions: DataFrame | None = None,
 ) -> DataFrame:
-    """``(chrom, tile, pos, sample, indel, n)`` from CIGARs.
+    """``(chrom, tile, pos, sample, indel, n)`` from CIGARs; with ``positions`` only at those.
 
     An event belongs to the base before it; one at the start of a read has no such base and
     is left out.  Events are counted first, deletions by length; only then is the deleted
@@ -48,6 +49,9 @@ def pileup_indels(
         .groupBy(*keys, "ins", "gap")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    if positions is not None:
+        listed = positions.select("chrom", "pos").withColumn("tile", tile_of(F.col("pos"), tile))
+        events = events.join(listed, ["chrom", "tile", "pos"], "left_semi")
     insertions = events.filter(F.col("ins").isNotNull()).select(*keys, F.col("ins").alias("indel"), "n")
     gaps = events.filter(F.col("gap").isNotNull())
     sequences = deleted_sequences(gaps.select("chrom", "pos", "gap").distinct(), tiles, tile)
@@ -56,13 +60,17 @@ def pileup_indels(
 
 
 def deleted_sequences(gaps: DataFrame, tiles: DataFrame, tile: int = TILE) -> DataFrame:
-    """Reference text of deletions ``(chrom, pos, gap)`` that follow ``pos``, as ``-SEQ``."""
+    """Reference text of deletions ``(chrom, pos, gap)`` that follow ``pos``, as ``-SEQ``.
+
+    Bases that the reference lacks are ``N``.
+    """
     first, last = F.col("pos") + 1, F.col("pos") + F.col("gap")
     parts = gaps.withColumn("tile", F.explode(F.sequence(tile_of(first, tile), tile_of(last, tile))))
     lo = F.greatest(first - F.col("tile") * tile, F.lit(1))
     hi = F.least(last - F.col("tile") * tile, F.lit(tile))
-    cut = F.substr("seq", lo.cast("int"), (hi - lo + 1).cast("int"))
-    joined = parts.join(tiles, ["chrom", "tile"]).withColumn("part", F.struct("tile", cut.alias("text")))
+    size = (hi - lo + 1).cast("int")
+    cut = F.rpad(F.coalesce(F.substr("seq", lo.cast("int"), size), F.lit("")), size, F.lit("N"))
+    joined = parts.join(tiles, ["chrom", "tile"], "left").withColumn("part", F.struct("tile", cut.alias("text")))
     # One group is one deletion: its parts are as many as the tiles it spans.
     whole = joined.groupBy("chrom", "pos", "gap").agg(F.array_sort(F.collect_list("part")).alias("parts"))
     text = F.array_join(F.transform("parts", lambda p: p["text"]), "")
@@ -100,7 +108,8 @@ def indel_summary(indels: DataFrame) -> DataFrame:
 
 def attach_indels(calls: DataFrame, summary: DataFrame) -> DataFrame:
     """Add the indel columns to per-sample rows; zero where there is none."""
-    keys = [c for c in ("chrom", "tile", "pos", "sample") if c in calls.columns and c in summary.columns]
+    own = {"n_indels", "indel_total", "top_indel", "n_dels", "longest_del", "indels"}
+    keys = [c for c in summary.columns if c not in own and c in calls.columns]
     joined = calls.join(summary, keys, "left")
     return joined.withColumns(
         {c: F.coalesce(F.col(c), F.lit(0).cast("bigint")) for c in ("n_indels", "indel_total", "n_dels")}

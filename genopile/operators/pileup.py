@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from genopile.config import TILE, PileupOptions
@@ -31,8 +31,6 @@ from genopile.operators.skew import LIGHT, SHARES, hot_keys
 # Counter of each pileup letter; a deleted base is written ``*``.
 _LETTERS = {**{a: c for a, c in COUNTERS.items() if a != "-"}, "*": "n_del"}
 
-_MAX_DEPTH_SPLITS = 64
-
 # Quality sums are kept as whole numbers of 1/1000 Phred units, so that they do not depend
 # on the order of addition.
 PHRED_UNITS = 1000
@@ -55,7 +53,7 @@ def read_blocks(reads: DataFrame, keep: list[str]) -> DataFrame:
     )
 
 
-def _pieces(blocks: DataFrame, keep: list[str], tile: int, name: bool) -> DataFrame:
+def _pieces(blocks: DataFrame, keep: list[str], tile: int) -> DataFrame:
     """Stretches of aligned or deleted bases, cut at tile borders."""
     size = F.col("b.len")
     after = F.col("b.read_off") + 1
@@ -65,10 +63,8 @@ def _pieces(blocks: DataFrame, keep: list[str], tile: int, name: bool) -> DataFr
     quals = F.when(deleted, F.expr("repeat(substr(qual, b.read_off + 1, 1), b.len)")).otherwise(
         F.substr("qual", after, size)
     )
-    extra = ["qname"] if name else []
     whole = blocks.filter(F.col("b.op").isin("M", "=", "X", "D")).select(
         *keep,
-        *extra,
         "chrom",
         (F.col("read_pos") + F.col("b.ref_off")).alias("start"),
         size.alias("size"),
@@ -82,7 +78,6 @@ def _pieces(blocks: DataFrame, keep: list[str], tile: int, name: bool) -> DataFr
     skip = (lo - F.col("start") + 1).cast("int")
     return tiled.select(
         *keep,
-        *extra,
         "chrom",
         "tile",
         lo.alias("start"),
@@ -153,7 +148,7 @@ def pileup_counts(
     shuffled and only listed positions are returned.
     """
     keep = ["sample", *by]
-    pieces = _pieces(read_blocks(usable(reads, options), keep), keep, tile, bool(options.max_depth))
+    pieces = _pieces(read_blocks(usable(reads, options), keep), keep, tile)
     if positions is not None:
         wanted = positions.select("chrom", tile_of(F.col("pos"), tile).alias("tile"))
         pieces = pieces.join(wanted, ["chrom", "tile"], "left_semi")
@@ -163,13 +158,10 @@ def pileup_counts(
     names = _counters(quality)
     sums = [F.sum(v).alias(c) for c, v in values.items()]
 
-    if options.max_depth:
-        counted = _capped(pieces, keep, keys, options).groupBy(*keys).agg(*sums)
-    else:
-        hot = F.broadcast(hot_keys(pieces, ["chrom", "tile"], F.col("size"), shares, light))
-        cold = pieces.join(hot, ["chrom", "tile"], "left_anti")
-        early = _bases(pieces.join(hot, ["chrom", "tile"], "left_semi"), keep).filter(good)
-        counted = _meet(cold, early.groupBy(*keys).agg(*sums), keep, keys, values, names, good)
+    hot = F.broadcast(hot_keys(pieces, ["chrom", "tile"], F.col("size"), shares, light))
+    cold = pieces.join(hot, ["chrom", "tile"], "left_anti")
+    early = _bases(pieces.join(hot, ["chrom", "tile"], "left_semi"), keep).filter(good)
+    counted = _meet(cold, early.groupBy(*keys).agg(*sums), keep, keys, values, names, good)
     if positions is None:
         return counted
     listed = positions.select("chrom", "pos").withColumn("tile", tile_of(F.col("pos"), tile))
@@ -209,31 +201,6 @@ def _meet(cold, early, keep, keys, values, names, good):
     )
 
 
-def _capped(pieces, keep, keys, options):
-    """The first ``max_depth`` reads by name at each position.
-
-    Ranking first inside random parts of a position bounds what one group can hold.
-    """
-    zipped = F.arrays_zip(F.split("bases", "").alias("base"), F.split("quals", "").alias("qual"))
-    single = pieces.select(
-        *keep, "chrom", "tile", "start", "qname", F.posexplode(zipped).alias("i", "z")
-    ).select(
-        *keep,
-        "chrom",
-        "tile",
-        "qname",
-        (F.col("start") + F.col("i")).alias("pos"),
-        F.col("z.base").alias("base"),
-        F.col("z.qual").alias("qual"),
-    )
-    good = single.filter(_quality() >= options.min_base_qual)
-    part = F.pmod(F.xxhash64("qname"), F.lit(_MAX_DEPTH_SPLITS))
-    rank = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy("qname", "base"))
-    some = good.withColumn("_part", part).withColumn("_rank", rank).filter(F.col("_rank") <= options.max_depth)
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("qname", "base"))
-    return some.withColumn("_rank", rank).filter(F.col("_rank") <= options.max_depth)
-
-
 def with_ref(counts: DataFrame, tiles: DataFrame, tile: int = TILE) -> DataFrame:
     """Add the reference base; ``cov`` is the depth.
 

@@ -9,6 +9,7 @@ from genopile.config import TILE
 from genopile.functions import alleles as A
 from genopile.operators.calls import fill_samples, site_table
 from genopile.operators.genome import ref_bases
+from genopile.operators.reads import at_positions
 
 
 def snarp(
@@ -22,7 +23,7 @@ def snarp(
     wanted = positions.select("chrom", "pos").distinct()
     fields = {"basecall": A.basecall_all(), "cov": F.col("cov"), "purity": A.purity()}
     blank = {"basecall": F.lit("."), "cov": F.lit(0).cast("bigint"), "purity": F.lit(0.0)}
-    sites = site_table(calls.join(wanted, ["chrom", "pos"], "left_semi"), fields, {})
+    sites = site_table(at_positions(calls, wanted), fields, {})
     joined = ref_bases(wanted, tiles, tile).withColumnRenamed("ref", "known_ref").join(
         sites.select("chrom", "pos", "ref", "obs"), ["chrom", "pos"], "left"
     )

@@ -35,7 +35,7 @@ def sample_calls(
     calls = with_alleles(with_ref(pileup_counts(reads, options, by=by, positions=positions), tiles))
     if not indels:
         return calls
-    return attach_indels(calls, indel_summary(pileup_indels(reads, tiles, options)))
+    return attach_indels(calls, indel_summary(pileup_indels(reads, tiles, options, by, positions=positions)))
 
 
 def call_variants(
@@ -101,7 +101,8 @@ class Run:
     options: PileupOptions = field(default_factory=PileupOptions)
     seed_length: int = align.K
     seed_stride: int = align.STRIDE
-    max_hits: int = align.MAX_HITS
+    max_insert: int = align.MAX_INSERT
+    max_mismatch: float = align.MAX_MISMATCH
 
 
 def run(spark: SparkSession, job: Run) -> DataFrame | None:
@@ -115,7 +116,7 @@ def run(spark: SparkSession, job: Run) -> DataFrame | None:
         pairs = pairs.repartition(job.partitions)
     tiles = materialize(fasta_tiles(spark, job.reference), "tiles")
     contigs = materialize(genome.contig_dictionary(genome.contig_lengths(tiles)), "contigs")
-    aligned = align.seed_align(pairs, tiles, contigs, job.seed_length, job.seed_stride, job.max_hits)
+    aligned = align.seed_align(pairs, tiles, contigs, job.seed_length, job.seed_stride, job.max_insert, job.max_mismatch)
     if job.save_alignments or job.index or job.stop_after_alignment:
         path = f"{job.output}/{job.name}.alignments"
         write_sorted(aligned, contigs, path)

@@ -9,7 +9,10 @@ from genopile.schemas import VCF_FIELDS
 
 
 def write_matrix(matrix: DataFrame, path: str) -> None:
-    matrix.write.csv(path, sep="\t", header=True)
+    """Tab-separated lines; the header is a file of its own that sorts before the records."""
+    head = matrix.sparkSession.createDataFrame([("\t".join(matrix.columns),)], "value string")
+    head.coalesce(1).write.text(f"{path}/header")
+    matrix.write.csv(f"{path}/records", sep="\t")
 
 
 def write_vcf(rows: DataFrame, path: str) -> None:

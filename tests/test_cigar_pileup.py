@@ -100,10 +100,28 @@ def test_indels_match_a_walk(spark):
     assert got == want
 
 
-def test_max_depth_keeps_the_first_names(spark):
-    rows = [("s0", 10, "1M", "A")] * 5 + [("s0", 10, "1M", "C")] * 5
-    r = pileup_counts(reads(spark, rows), PileupOptions(max_depth=3)).first()
-    assert (r.depth, r.n_a, r.n_c) == (3, 3, 0)
+def test_deep_positions_keep_every_base(spark):
+    rows = [("s0", 10, "1M", "A")] * 500 + [("s0", 10, "1M", "C")] * 500
+    r = pileup_counts(reads(spark, rows)).first()
+    assert (r.depth, r.n_a, r.n_c) == (1000, 500, 500)
+
+
+def test_deletions_on_unknown_contigs_are_kept(spark):
+    tiles = tile_reference(spark.createDataFrame([("chr1", "ACGTA")], "chrom string, seq string"))
+    rows = [("s0", 3, "2M3D2M", "AAAA")] * 2
+    known = pileup_indels(reads(spark, rows), tiles).first()
+    assert (known.indel, known.n) == ("-NNN", 2)
+    other = tile_reference(spark.createDataFrame([("chrX", "ACGTA")], "chrom string, seq string"))
+    unknown = pileup_indels(reads(spark, rows), other).first()
+    assert (unknown.indel, unknown.n) == ("-NNN", 2)
+
+
+def test_indels_of_segments_are_counted_apart(spark):
+    tiles = tile_reference(spark.createDataFrame([("chr1", "ACGTACGTACGT")], "chrom string, seq string"))
+    one = reads(spark, [("s0", 1, "2M1D2M", "ACTA")] * 3)
+    both = one.withColumn("seg", F.explode(F.array(F.lit(0), F.lit(1))))
+    rows = sample_calls(both, tiles, indels=True, by=("seg",)).filter("n_indels > 0").collect()
+    assert [(r.seg, r.indel_total, r.cov) for r in sorted(rows, key=lambda r: r.seg)] == [(0, 3, 3), (1, 3, 3)]
 
 
 def test_low_quality_and_missing_quality(spark):
