@@ -310,8 +310,7 @@ CTES = {
         select *, case when pl_rr = 0 and pl_ra = 0 and pl_aa = 0 then './.' when pl_rr = 0 then '0/0'
                        when pl_ra = 0 then '0/1' else '1/1' end as gt from pls""",
     "jalt": """
-        select chrom, pos, ref, coalesce(arg_max(base, (n, base)) filter (n > 0 and base <> ref), '.') as alt
-        from (select chrom, pos, ref, base, sum(n) as n from allc group by all) group by all""",
+        select chrom, pos, ref, alt, bool_or(gt = '1/1') as hom from gts where gt in ('0/1', '1/1') group by all""",
     "jpl": """
         select chrom, pos, ref, alt, sample, depth, rr - m as pl_rr, ra - m as pl_ra, aa - m as pl_aa
         from (select *, least(rr, ra, aa) as m
@@ -321,7 +320,7 @@ CTES = {
                            floor((sum(case when base = ref then er when base = alt then ok else 0 end) + 500) / 1000)::bigint as aa
                     from allc join jalt using (chrom, pos, ref) group by all))""",
     "jall": """
-        select s.chrom, s.pos, s.ref, s.alt, s.sample, coalesce(p.pl_rr, 0) as pl_rr, coalesce(p.pl_ra, 0) as pl_ra,
+        select s.hom, s.chrom, s.pos, s.ref, s.alt, s.sample, coalesce(p.pl_rr, 0) as pl_rr, coalesce(p.pl_ra, 0) as pl_ra,
                coalesce(p.pl_aa, 0) as pl_aa, coalesce(p.depth, 0) as cov,
                case when coalesce(p.pl_rr = 0 and p.pl_ra = 0 and p.pl_aa = 0, true) then './.' when p.pl_rr = 0 then '0/0'
                     when p.pl_ra = 0 then '0/1' else '1/1' end as gt
@@ -331,8 +330,7 @@ CTES = {
         select chrom as "CHROM", pos as "POS", '.' as "ID", ref as "REF", alt as "ALT", '.' as "QUAL", '.' as "FILTER",
                'DP=' || sum(cov) as "INFO", 'GT:PL:DP' as "FORMAT",
                max(cell) filter (sample = 's0') as s0, max(cell) filter (sample = 's1') as s1, max(cell) filter (sample = 's2') as s2
-        from (select *, gt || ':' || pl_rr || ',' || pl_ra || ',' || pl_aa || ':' || cov as cell from jall)
-        where (chrom, pos) in (select (chrom, pos) from gts where gt in ('0/1', '1/1'))
+        from (select chrom, pos, ref, alt, sample, cov, gt || ':' || pl_rr || ',' || pl_ra || ',' || pl_aa || ':' || cov as cell from jall)
         group by all""",
     # Calls per overlapping segment ---------------------------------------------------
     "copies": "select c.*, s.seg from cum c join segs s on (s.lo is null or c.cum_pos > s.lo) and (s.hi is null or c.cum_pos <= s.hi)",
@@ -428,8 +426,7 @@ RESULTS = {
         union all select sample, concat_ws(chr(9), qname, flag, rname, pos) from aln""",
     "pileup_rows": "select * from pile",
     "vcf_rows_in": """
-        select chrom, pos, sample, gt from jall
-        where (chrom, pos) in (select (chrom, pos) from gts where gt in ('0/1', '1/1'))""",
+        select chrom, pos, sample, gt from jall""",
     "sorted_alignments": "select * from aln",
     "sorted_sam": "select sample, qname, flag, rname, pos, cigar from aln",
     "bin_index": """
@@ -567,6 +564,11 @@ RESULTS = {
                case when cov = 0 then '.' when cov >= 10 and purity <= 0.7::double then major || '/' || minor else major end as basecall,
                cov, purity
         from cfull where snp""",
+    "manifest_calls": """
+        select chrom, pos::bigint as pos, 'SNP' as type, ref, sample,
+               case when cov = 0 then '.' when cov >= 10 and purity <= 0.7::double then major || '/' || minor else major end as basecall,
+               cov, purity
+        from cfull where snp""",
     "het_rows": "select * from tbaserow where type = 'HET'",
     "indel_type": "select chrom, pos, type, longest as max_indel from ttype",
     "indel_rows": "select * from tindelrow",
@@ -607,8 +609,7 @@ RESULTS = {
     "genotypes": "select chrom, pos::bigint as pos, ref, alt, sample, gt, depth as cov from gts where gt in ('0/1', '1/1')",
     "union_positions": "select distinct chrom, pos::bigint as pos from gts where gt = '1/1'",
     "joint_genotypes": """
-        select chrom, pos::bigint as pos, ref, alt, sample, gt, pl_rr, pl_ra, pl_aa, cov from jall
-        where (chrom, pos) in (select (chrom, pos) from gts where gt = '1/1')""",
+        select chrom, pos::bigint as pos, ref, alt, sample, gt, pl_rr, pl_ra, pl_aa, cov from jall where hom""",
     "union_samples": "select sample, header from pairs",
     "merged_order": "select distinct chrom, pos, type, ref from tbaserow where chrom in (select chrom from contigs)",
     "exact_dedupe": """

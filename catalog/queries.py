@@ -173,6 +173,17 @@ def sam_rows(spark, d):
     return aln_source.sam_rows(lines).drop("tags")
 
 
+@query
+def manifest_calls(spark, d):
+    """From a manifest of SAM files to called variants, without placing reads."""
+    path = _written_sam(spark, d)
+    lines = "\n".join(f"{s}\t{path}/{s}.sam" for s in SAMPLES)
+    spark.createDataFrame([(lines,)], "value string").write.text(f"{path}/list.tsv")
+    rows = aln_source.listed_alignments(spark, f"{path}/list.tsv")
+    sites = modes.call_variants(rows, _tiles(spark, d), SAMPLES)
+    return calls.long_rows(sites)
+
+
 @query
 def contigs(spark, d):
     """Contig dictionary from ``@SQ`` lines."""
@@ -284,7 +295,9 @@ def min_mapq(spark, d):
 
 @query
 def region_filter(spark, d):
-    found = reads.region_reads(fx.aln(spark, d), "chr7", 100, 500)
+    aln = fx.aln(spark, d)
+    start = aln_sink.region_start(aln_sink.bin_index(aln), "chr7", 100, 500)
+    found = reads.region_reads(aln, "chr7", 100, 500, start)
     return found.select("sample", "qname", "rname", "pos", "cigar")
 
 

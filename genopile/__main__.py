@@ -8,18 +8,27 @@ from __future__ import annotations
 import argparse
 import re
 
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
 from genopile.config import Cutoffs, PileupOptions
 from genopile.operators.align import MAX_INSERT, MAX_MISMATCH
 from genopile.plans.modes import Run, run
 from genopile.session import session
 from genopile.sources import tables
+from genopile.sources.reads import fastq_to_pairs
+from genopile.storage import materialize
 
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="genopile", description=__doc__.splitlines()[0])
-    p.add_argument("--reads", required=True, help="read pair tables, comma-separated, wildcards allowed")
+    p.add_argument("--reads", default="", help="read pair tables, comma-separated, wildcards allowed")
+    p.add_argument("--alignments", help="alignments instead of reads, comma-separated, wildcards allowed")
+    p.add_argument("--alignment-format", default="sam", choices=["sam", "parquet"])
+    p.add_argument("--manifest", help="samples and SAM files instead of reads")
+    p.add_argument("--fastq", action="append", metavar="SAMPLE=FILE1[,FILE2]", help="only write read pair tables")
     p.add_argument("--read-format", default="avro", choices=["avro", "parquet", "json"])
-    p.add_argument("--reference", required=True, help="FASTA file")
+    p.add_argument("--reference", help="FASTA file")
     p.add_argument("--output", required=True)
     p.add_argument("--name", default="variants")
     p.add_argument("--partitions", type=int)
@@ -53,10 +62,28 @@ def parse_region(text: str) -> tuple[str, int, int]:
     return chrom, number(lo, 1), number(hi, 2**31 - 1)
 
 
+def convert(spark: SparkSession, items: list[str], output: str) -> None:
+    """FASTQ files to one table of read pairs per sample, named for it."""
+    files = {name: paths.split(",") for name, _, paths in (item.partition("=") for item in items)}
+    second = {name: paths[1] for name, paths in files.items() if len(paths) > 1}
+    pairs = fastq_to_pairs(spark, {name: paths[0] for name, paths in files.items()}, second)
+    pairs = materialize(pairs, "pairs")
+    for name in files:
+        pairs.filter(F.col("sample") == name).drop("sample").write.parquet(f"{output}/{name}.parquet")
+
+
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = session(args.name)
+    if args.fastq:
+        convert(spark, args.fastq, args.output)
+        return
+    if not args.reference or not (args.reads or args.alignments or args.manifest):
+        raise SystemExit("--reference and one of --reads, --alignments, --manifest are needed")
     job = Run(
+        alignments=args.alignments,
+        alignment_format=args.alignment_format,
+        manifest=args.manifest,
         paths=args.reads,
         reference=args.reference,
         output=args.output,

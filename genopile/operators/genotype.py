@@ -8,7 +8,7 @@ genotype and cancel.  Costs are whole numbers, summed by the pileup itself.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from genopile.functions.once import with_once
@@ -89,20 +89,22 @@ def union_positions(variants: DataFrame, hets: bool = False) -> DataFrame:
     return kept.select(*site_keys(variants)).distinct()
 
 
-def joint_sites(counts: DataFrame, positions: DataFrame, samples: list[str]) -> DataFrame:
-    """All samples at the given positions against one shared alternate base.
+def called_alternates(variants: DataFrame, hets: bool = False) -> DataFrame:
+    """Distinct alternates that some sample is called with; only homozygous ones unless ``hets``."""
+    kept = variants if hets else variants.filter(F.col("gt") == "1/1")
+    return kept.select(*site_keys(variants), "alt").distinct()
+
+
+def joint_sites(counts: DataFrame, alternates: DataFrame, samples: list[str]) -> DataFrame:
+    """All samples against every called alternate: a site has one row per alternate.
 
     ``chrom, pos, ref, alt, obs`` with an entry ``(sample, gt, pl_rr, pl_ra, pl_aa, cov)``
-    for every sample.  Positions without an alternate have ``alt`` ``.``.
+    for every sample.  A site has at most three alternates, so rows stay few.
     """
-    keys = [c for c in site_keys(counts) if c in positions.columns]
-    at = counts.join(positions.select(*keys), keys, "left_semi")
-    site = Window.partitionBy(*site_keys(at))
-    totals = {f"all_{b}": F.sum(f"n_{b}").over(site) for b in "acgt"}
-    shared = _with_alt(at.withColumns(totals), {b: F.col(f"all_{b.lower()}") for b in "ACGT"})
-    scored = _likelihoods(shared.withColumn("alt", F.coalesce("alt", F.lit(".")))).withColumn("gt", genotype_text())
+    keys = [c for c in site_keys(counts) if c in alternates.columns]
+    at = counts.join(alternates.select(*keys, "alt"), keys)
+    scored = _likelihoods(at).withColumn("gt", genotype_text())
     entry = F.struct("sample", "gt", "pl_rr", "pl_ra", "pl_aa", "cov")
-    # The window has already placed each site in one task; a site has a row per sample.
     back = scored.groupBy(*site_keys(at), "ref", "alt").agg(F.sort_array(F.collect_list(entry)).alias("obs"))
     zero = F.lit(0).cast("bigint")
     blank = {"gt": F.lit("./."), "pl_rr": zero, "pl_ra": zero, "pl_aa": zero, "cov": zero}

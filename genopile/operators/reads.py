@@ -49,10 +49,16 @@ def usable(reads: DataFrame, options: PileupOptions) -> DataFrame:
     return kept.filter(~orphan)
 
 
-def region_reads(reads: DataFrame, chrom: str, lo: int, hi: int) -> DataFrame:
-    """Reads whose span meets a region; the start bound alone can be pushed to the scan."""
+def region_reads(reads: DataFrame, chrom: str, lo: int, hi: int, start: int | None = None) -> DataFrame:
+    """Reads whose span meets a region; bounds of their starts are pushed to the scan.
+
+    ``start``, from the bin index, is a position before which none of them starts.
+    """
     end = F.col("pos") + ref_span(F.col("cigar")) - 1
-    return reads.filter((F.col("rname") == chrom) & (F.col("pos") <= hi)).filter(end >= lo)
+    near = reads.filter((F.col("rname") == chrom) & (F.col("pos") <= hi))
+    if start is not None:
+        near = near.filter(F.col("pos") >= start)
+    return near.filter(end >= lo)
 
 
 def region_sites(sites: DataFrame, chrom: str, lo: int, hi: int) -> DataFrame:

@@ -11,13 +11,14 @@ from genopile.config import Cutoffs, PileupOptions
 from genopile.functions.alleles import with_alleles
 from genopile.operators import align, genome
 from genopile.operators.calls import called_sites, matrix
-from genopile.operators.genotype import genotypes, joint_sites, union_positions, vcf_rows
+from genopile.operators.genotype import called_alternates, genotypes, joint_sites, vcf_rows
 from genopile.operators.indels import attach_indels, indel_summary, pileup_indels
 from genopile.operators.pileup import pileup_counts, with_ref
 from genopile.operators.positions import snarp
 from genopile.operators.reads import region_reads, region_sites
-from genopile.sinks.alignments import bin_index, write_sorted
+from genopile.sinks.alignments import bin_index, region_start, write_sorted
 from genopile.sinks.variants import write_matrix, write_vcf
+from genopile.sources.alignments import alignments, listed_alignments
 from genopile.sources.reads import read_pairs
 from genopile.sources.reference import fasta_tiles
 from genopile.storage import materialize
@@ -70,22 +71,29 @@ def joint_call(
     options: PileupOptions = PileupOptions(),
     hets: bool = False,
 ) -> DataFrame:
-    """All samples at the union of the samples' variant positions.
+    """All samples at the union of the samples' variants, one row per called alternate.
 
     The likelihood counters are used twice, so they are stored once.
     """
     counts = with_ref(pileup_counts(reads, options, quality=True), tiles)
     stored = materialize(counts, "counters")
-    return joint_sites(stored, union_positions(genotypes(stored), hets), samples)
+    return joint_sites(stored, called_alternates(genotypes(stored), hets), samples)
 
 
 @dataclass(frozen=True)
 class Run:
-    """Settings of one run from read pairs to a result table."""
+    """Settings of one run from read pairs, or from alignments, to a result table.
+
+    ``alignments`` is SAM text or Parquet (one table a sample, or one with a ``sample`` column);
+    ``manifest`` lists samples and SAM files.  With either, ``paths`` is not read.
+    """
 
     paths: str
     reference: str
     output: str
+    alignments: str | None = None
+    manifest: str | None = None
+    alignment_format: str = "sam"
     name: str = "variants"
     read_format: str = "avro"
     partitions: int | None = None
@@ -111,18 +119,19 @@ def run(spark: SparkSession, job: Run) -> DataFrame | None:
     Alignments are written once, sorted; the passes of the pileup then read only the columns
     they use.
     """
-    pairs = read_pairs(spark, job.paths, job.read_format)
-    if job.partitions:
-        pairs = pairs.repartition(job.partitions)
     tiles = materialize(fasta_tiles(spark, job.reference), "tiles")
     contigs = materialize(genome.contig_dictionary(genome.contig_lengths(tiles)), "contigs")
-    aligned = align.seed_align(pairs, tiles, contigs, job.seed_length, job.seed_stride, job.max_insert, job.max_mismatch)
+    aligned = _alignments(spark, job, tiles, contigs)
     if job.save_alignments or job.index or job.stop_after_alignment:
         path = f"{job.output}/{job.name}.alignments"
         write_sorted(aligned, contigs, path)
         reads = spark.read.parquet(path)
         if job.index:
-            bin_index(reads).write.parquet(f"{job.output}/{job.name}.bins")
+            bins = f"{job.output}/{job.name}.bins"
+            bin_index(reads).write.parquet(bins)
+            if job.region:
+                start = region_start(spark.read.parquet(bins), *job.region)
+                reads = region_reads(reads, *job.region, start=start)
         if job.stop_after_alignment:
             return None
     else:
@@ -136,6 +145,20 @@ def run(spark: SparkSession, job: Run) -> DataFrame | None:
     return result
 
 
+def _alignments(spark: SparkSession, job: Run, tiles: DataFrame, contigs: DataFrame) -> DataFrame:
+    """Given alignments as they are, else read pairs placed on the reference."""
+    if job.manifest:
+        return listed_alignments(spark, job.manifest)
+    if job.alignments:
+        return alignments(spark, job.alignments, job.alignment_format)
+    pairs = read_pairs(spark, job.paths, job.read_format)
+    if job.partitions:
+        pairs = pairs.repartition(job.partitions)
+    return align.seed_align(
+        pairs, tiles, contigs, job.seed_length, job.seed_stride, job.max_insert, job.max_mismatch
+    )
+
+
 def _result(reads: DataFrame, tiles: DataFrame, samples: list[str], job: Run) -> DataFrame:
     """Positions first, else VCF, else calls by thresholds; rows in genome order."""
     if job.region:

@@ -8,7 +8,9 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    from genopile.session import SETTINGS
+
     session = (
         SparkSession.builder.master("local[4]")
         .appName("tests")
@@ -16,8 +18,10 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
-        .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
     )
+    for key, value in SETTINGS.items():
+        session = session.config(key, value)
+    session = session.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     return session

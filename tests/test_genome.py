@@ -138,3 +138,37 @@ def test_reads_of_repeats_are_placed_not_lost(spark):
     pairs = spark.createDataFrame([("s", "r", read, "I" * 50, "", "")], "sample string, header string, seq1 string, qual1 string, seq2 string, qual2 string")
     r = align.seed_align(pairs, tiles, contigs).first()
     assert (r.rname, r.pos, r.mapq, r.flag) == ("chr1", 1, 0, 0)
+
+
+PAIR = "sample string, header string, seq1 string, qual1 string, seq2 string, qual2 string"
+
+
+def _single(spark, contigs, reads):
+    tiles = genome.tile_reference(spark.createDataFrame(list(contigs.items()), "chrom string, seq string"))
+    known = genome.contig_dictionary(genome.contig_lengths(tiles))
+    data = [("s", name, seq, "I" * len(seq), "", "") for name, seq in reads]
+    return align.seed_align(spark.createDataFrame(data, PAIR), tiles, known).collect()
+
+
+def test_a_repeat_of_twelve_copies_goes_to_an_exact_one(spark):
+    rng = random.Random(5)
+    unit = "".join(rng.choice("ACGT") for _ in range(60))
+    odd = unit[:30] + ("A" if unit[30] != "A" else "C") + unit[31:]
+    contigs = {f"chr{i}": (odd if i == 1 else unit) for i in range(1, 13)}
+    got = {r.qname: r for r in _single(spark, contigs, [("u", unit), ("o", odd)])}
+    assert (got["u"].rname, got["u"].mapq, got["o"].rname) == ("chr2", 0, "chr1")
+
+
+def test_reads_with_few_equal_bases_stay_unplaced(spark):
+    rng = random.Random(6)
+    ref = "".join(rng.choice("ACGT") for _ in range(500))
+    junk = ref[100:120] + "".join({"A": "C", "C": "A", "G": "T", "T": "G"}[b] for b in ref[120:160])
+    (r,) = _single(spark, {"chr1": ref}, [("j", junk)])
+    assert (r.flag, r.rname, r.mapq) == (4, "*", 0)
+
+
+def test_reads_of_one_name_go_their_own_ways(spark):
+    rng = random.Random(7)
+    ref = "".join(rng.choice("ACGT") for _ in range(2000))
+    got = _single(spark, {"chr1": ref}, [("same", ref[1000:1050]), ("same", ref[1500:1550])])
+    assert sorted(r.pos for r in got) == [1001, 1501]

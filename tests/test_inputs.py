@@ -1,8 +1,12 @@
 """Manifests and regions."""
 
+import pytest
+from pyspark.sql import functions as F
+
 from genopile.operators.reads import region_reads
 from genopile.sources import tables
 from genopile.sources.alignments import header_contigs, sam_rows
+from genopile.sources.lines import sample_name
 
 
 def test_manifest_of_paths_names_samples(spark, tmp_path):
@@ -24,3 +28,21 @@ def test_sam_lines_with_tags_and_header(spark):
     r = sam_rows(table).first()
     assert (r.rname, r.pos, r.tags) == ("chr*", 3, ["NM:i:0", "XX:Z:a"])
     assert sorted((c.chrom, c.len) for c in header_contigs(table).collect()) == [("chr*", 5), ("chr2", 77)]
+
+
+def test_sample_names(spark):
+    cases = {
+        "s3a://b/s1.bam": "s1",
+        "s3a://b/s1.cram": "s1",
+        "s3a://b/s1.fastq.bz2": "s1",
+        "s3a://b/s1.vcf.bgz": "s1",
+        "s3a://b/run.parquet/s1.avro": "s1",
+        "s3a://b/my%20s.fq.gz": "my s",
+        "file:/x/a+b.v2.json/part-0000-x.json": "a+b.v2",
+        "/x/s.parquet/": "s",
+    }
+    table = spark.createDataFrame([(p,) for p in cases], "path string")
+    got = {r.path: r.name for r in table.select("path", sample_name(table.path).alias("name")).collect()}
+    assert got == cases
+    with pytest.raises(Exception, match="no sample name"):
+        spark.createDataFrame([("/x/.bam",)], "path string").select(sample_name(F.col("path"))).collect()
