@@ -18,4 +18,82 @@ WITH v AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
 """
 
-ORACLES: dict[str, str] = {"op8_pivot_search": TOP_K}
+WORDS = r"""list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"""
+
+SHINGLE_JOIN = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, {WORDS.format(
+    "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+  )} AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(w) = 0 THEN []
+    WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s
+  FROM w
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
+  FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS MATERIALIZED (
+  SELECT x, y FROM shared JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y
+  WHERE 100 * k >= 85 * (a.n + b.n - k)
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT r.doc_id, l.y FROM reach r JOIN links l ON l.x = r.other
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, r.component_id
+FROM documents d LEFT JOIN n USING (doc_id)
+JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) r USING (doc_id)
+"""
+
+HOST_RULES = rf"""
+WITH t AS (
+  SELECT doc_id, source, coalesce(text, '') AS text, {WORDS.format("coalesce(text, '')")} AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS words
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM t)
+), covered AS (
+  SELECT doc_id, count(DISTINCT place) AS n FROM (
+    SELECT doc_id, unnest(range(i, i + 8)) AS place
+    FROM windows JOIN (SELECT doc_id, words FROM windows GROUP BY ALL HAVING count(*) > 1) USING (doc_id, words)
+  ) GROUP BY doc_id
+), lines AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM t)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
+), counts AS (
+  SELECT t.doc_id, source, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+         CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+         coalesce(l.n, 0) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words
+  FROM t LEFT JOIN lines l USING (doc_id) LEFT JOIN covered c USING (doc_id)
+), judged AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counts
+), hosts AS (
+  SELECT source, count(*) AS n, count(*) FILTER (base_failed) AS f FROM judged WHERE source IS NOT NULL GROUP BY source
+), sums AS (
+  SELECT sum(n) AS total, sum(f) / sum(n) AS mean, count(*) AS k, sum(f * f / n) AS sq, sum(n * n) AS nn FROM hosts
+), fit AS (
+  SELECT mean, mean * (1 - mean) AS noise,
+         (sq - total * mean * mean - mean * (1 - mean) * (k - 1)) / greatest(1e-9, total - nn / total) AS spread
+  FROM sums
+), prior AS (
+  SELECT greatest(mean * weight, 1e-6) AS a, greatest((1 - mean) * weight, 1e-6) AS b
+  FROM (SELECT mean, least(greatest(CASE WHEN spread > 0 THEN noise / spread - 1 ELSE 1e6 END, 1), 1e6) AS weight FROM fit)
+), rejected AS (
+  SELECT source FROM hosts, prior WHERE (f + a) / (n + a + b) >= 0.5
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND (source IS NULL OR source NOT IN (SELECT source FROM rejected)) AS kept
+FROM judged
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_shingle_join": SHINGLE_JOIN,
+    "op6_host_rules": HOST_RULES,
+    "op8_pivot_search": TOP_K,
+}
