@@ -123,19 +123,13 @@ def assign(
     shards = F.array(*(F.lit(i) for i in opened))
     some = F.get(shards, F.pmod(F.xxhash64("link"), F.lit(len(opened))).cast("int"))
     for number in range(options.rounds):
-        aimed = materialize(
-            state.join(_homes(state, opened), "link", "left").select(
-                "row",
-                "link",
-                "fixed",
-                "shard",
-                F.coalesce("fixed", "home", F.when(F.col("link").isNotNull(), some), "shard").alias(
-                    "home"
-                ),
-                F.col("link").isNull().alias("free"),
-            ),
-            "shard-aims",
-        )
+        # Rows without a link stay out of the join: their null keys would meet in one task.
+        columns = ["row", "link", "fixed", "shard"]
+        tied = state.filter("link is not null").join(_homes(state, opened), "link", "left")
+        tied = tied.select(*columns, F.coalesce("fixed", "home", some).alias("home"), F.lit(False).alias("free"))
+        loose = state.filter("link is null")
+        loose = loose.select(*columns, F.col("shard").alias("home"), F.lit(True).alias("free"))
+        aimed = materialize(tied.unionByName(loose), "shard-aims")
         counts = aimed.groupBy("shard", "home", "free").agg(F.count(F.lit(1)).alias("n")).collect()
         wants = [(r["shard"], r["home"], r["n"]) for r in counts if r["shard"] != r["home"]]
         if not wants:

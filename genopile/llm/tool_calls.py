@@ -186,7 +186,11 @@ def link(
             F.min(F.when(F.col("kind") == "result", F.struct("ord", "event")))["event"].alias("result"),
         )
     )
-    marked = events.drop("row", "text").join(firsts, ["conv", "id"], "left")
+    # Messages have no identifier; their null keys would meet in one task.
+    slim = events.drop("row", "text")
+    named = F.col("id").isNotNull() & F.col("conv").isNotNull()
+    marked = slim.filter(named).join(firsts, ["conv", "id"], "left")
+    marked = marked.unionByName(slim.filter(~named), allowMissingColumns=True)
     first = F.when(F.col("kind") == "call", F.col("event") == F.col("call")).otherwise(
         F.col("event") == F.col("result")
     )
