@@ -126,42 +126,72 @@ class RTree:
     """An R-tree over count vectors, loaded at once by halving the widest coordinate.
 
     A node keeps the upper corner of its rectangle, its smallest set size, and its component
-    where all of its points share one.  The overlap of a query with any point below a node is at
-    most the summed minima of the query and that corner.
+    where all of its points share one (else -1).  The overlap of a query with any point below a
+    node is at most the summed minima of the query and that corner.  Many queries go down the
+    tree together, level by level.
     """
 
     def __init__(self, at: np.ndarray, sizes: np.ndarray, comps: np.ndarray, leaf: int = 16):
-        self.at, self.sizes, self.comps, self.leaf = at, sizes, comps, leaf
-        self.root = self._load(np.arange(len(at)))
-
-    def _load(self, rows: np.ndarray):
-        comps = self.comps[rows]
-        comp = comps[0] if (comps == comps[0]).all() else None
-        part = self.at[rows]
-        top, least = part.max(0), self.sizes[rows].min()
-        if len(rows) <= self.leaf:
-            return top, least, comp, rows, None
-        widest = int((top - part.min(0)).argmax())
-        order = rows[np.argsort(part[:, widest], kind="stable")]
-        half = len(order) // 2
-        return top, least, comp, None, (self._load(order[:half]), self._load(order[half:]))
-
-    def search(self, q: np.ndarray, size: int, comp: int, rule: Jaccard):
-        """Rows of other components that may link to the query, with their bounds."""
-        found, bounds, stack = [], [], [self.root]
-        while stack:
-            top, least, one, rows, below = stack.pop()
-            if one is not None and one == comp:
-                continue
-            if np.minimum(q, top).sum() < rule.overlap(size + int(least)):
-                continue
-            if below:
-                stack += below
-                continue
-            bound = np.minimum(q, self.at[rows]).sum(1)
-            good = (bound >= rule.overlap(size + self.sizes[rows])) & (self.comps[rows] != comp)
-            found.append(rows[good])
-            bounds.append(bound[good])
-        if not found:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        return np.concatenate(found), np.concatenate(bounds)
+        self.at, self.sizes = at.astype(np.int32), sizes
+        # Components by small numbers, so that -1 is free.
+        self.names, self.comps = np.unique(comps, return_inverse=True)
+        self.leaf = leaf
+        self.tops: list[np.ndarray] = []
+        self.least: list[int] = []
+        self.one: list[int] = []
+        self.below: list[tuple[int, int]] = []
+        self.rows: list[np.ndarray] = []
+        self._load(np.arange(len(at)))
+        self.top, self.low = np.array(self.tops), np.array(self.least)
+        self.single, self.pair = np.array(self.one), np.array(self.below)
+
+    def _load(self, rows: np.ndarray) -> int:
+        me, comps, part = len(self.tops), self.comps[rows], self.at[rows]
+        self.tops.append(part.max(0))
+        self.least.append(int(self.sizes[rows].min()))
+        self.one.append(int(comps[0]) if (comps == comps[0]).all() else -1)
+        self.below.append((-1, -1))
+        self.rows.append(rows)
+        if len(rows) > self.leaf:
+            widest = int((self.tops[me] - part.min(0)).argmax())
+            order = rows[np.argsort(part[:, widest], kind="stable")]
+            half = len(order) // 2
+            self.below[me] = (self._load(order[:half]), self._load(order[half:]))
+        return me
+
+    @staticmethod
+    def _overlaps(a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray) -> np.ndarray:
+        step = 8192
+        parts = [
+            np.minimum(a[i[k : k + step]], b[j[k : k + step]]).sum(1) for k in range(0, len(i), step)
+        ]
+        return np.concatenate(parts) if parts else np.empty(0, np.int64)
+
+    def search(self, asked: np.ndarray, sizes: np.ndarray, comps: np.ndarray, rule: Jaccard):
+        """Query, row and bound of every pair of different components that may be linked."""
+        asked = asked.astype(np.int32)
+        place = np.searchsorted(self.names, comps).clip(max=len(self.names) - 1)
+        own = np.where(self.names[place] == comps, place, -2)
+        query, node = np.arange(len(asked)), np.zeros(len(asked), np.int64)
+        found = [], [], []
+        while len(query):
+            other = self.single[node] != own[query]
+            query, node = query[other], node[other]
+            bound = self._overlaps(asked, query, self.top, node)
+            good = bound >= rule.overlap(sizes[query] + self.low[node])
+            query, node = query[good], node[good]
+            ends = self.pair[node, 0] < 0
+            held = [self.rows[n] for n in node[ends]]
+            q = np.repeat(query[ends], [len(h) for h in held])
+            r = np.concatenate(held) if held else np.empty(0, np.int64)
+            other = self.comps[r] != own[q]
+            q, r = q[other], r[other]
+            bound = self._overlaps(asked, q, self.at, r)
+            good = bound >= rule.overlap(sizes[q] + self.sizes[r])
+            for out, part in zip(found, (q[good], r[good], bound[good])):
+                out.append(part)
+            inner = self.pair[node[~ends]]
+            query = np.repeat(query[~ends], 2)
+            node = inner.reshape(-1)
+        empty = np.empty(0, np.int64)
+        return tuple(np.concatenate(out) if out else empty for out in found)

@@ -35,15 +35,24 @@ class Joining:
     rule: Jaccard = Jaccard(85, 100)
     # Points of one R-tree, and rows that one task handles, in whole trees.
     block: int = 512
-    task_rows: int = 1 << 14
+    task_rows: int = 1 << 13
 
 
-def _sets(batch: pa.RecordBatch, n: int) -> Iterator[np.ndarray]:
+class _Hashes(dict):
+    """Word hashes, computed when first asked for; emptied when there are many."""
+
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = xxhash.xxh64_intdigest(word)
+        return found
+
+
+def _sets(batch: pa.RecordBatch, n: int, hashes: _Hashes) -> Iterator[np.ndarray]:
     """The token set of the text in column 1 of every row."""
     for value in batch.column(1):
         raw = value.as_py()
         words = raw.lower().split() if raw else []
-        hashes = {w: xxhash.xxh64_intdigest(w) for w in set(words)}
+        if len(hashes) > 400_000:
+            hashes.clear()
         yield token_set(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)), n)
 
 
@@ -60,9 +69,10 @@ def _small(batch: pa.RecordBatch, rows: int = 1024) -> Iterator[pa.RecordBatch]:
 
 def _fingerprints(options: Joining):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _Hashes()
         for batch in batches:
             n, node = [], []
-            for tokens in _sets(batch, options.words):
+            for tokens in _sets(batch, options.words, hashes):
                 n.append(len(tokens))
                 node.append(_node(tokens) if len(tokens) else None)
             yield pa.RecordBatch.from_pydict(
@@ -74,11 +84,11 @@ def _fingerprints(options: Joining):
 
 def _signatures(options: Joining):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands = Bands(options.rule)
+        bands, hashes = Bands(options.rule), _Hashes()
         for large in batches:
             for batch in _small(large):
                 sigs, nodes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-                for tokens in _sets(batch, options.words):
+                for tokens in _sets(batch, options.words, hashes):
                     if len(tokens):
                         sigs.append(bands.signatures(tokens))
                         nodes.append(np.full(len(sigs[-1]), _node(tokens), np.int64))
@@ -94,9 +104,10 @@ def _signatures(options: Joining):
 
 def _tokens(options: Joining):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _Hashes()
         for large in batches:
             for batch in _small(large, 256):
-                sets = list(_sets(batch, options.words))
+                sets = list(_sets(batch, options.words, hashes))
                 full = pa.array([len(t) > 0 for t in sets], pa.bool_())
                 sets = [t for t in sets if len(t)]
                 yield pa.RecordBatch.from_pydict(
@@ -211,101 +222,97 @@ def _of(tokens: DataFrame, side: str, columns: list[str]) -> DataFrame:
 
 
 def _links(pairs: DataFrame, tokens: DataFrame, options: Joining, name: str) -> DataFrame:
-    """The pairs (``a``, ``b``) that are linked, stored."""
-    bound = pairs.join(_of(tokens, "a", ["n", "counts"]), "a").join(
-        _of(tokens, "b", ["n", "counts"]), "b"
+    """The pairs (``a``, ``b``) that are linked, stored.
+
+    ``b`` may be in very many pairs and is looked up first, while rows are narrow.  Token sets are
+    moved only for pairs that the bound leaves.
+    """
+    bound = pairs.join(_of(tokens, "b", ["n", "counts"]), "b").join(
+        _of(tokens, "a", ["n", "counts"]), "a"
     )
     bound = bound.select("a", "b", "a_n", "b_n", "a_counts", "b_counts")
     left = materialize(bound.mapInArrow(_bounded(options), "a long, b long"), "bounded-pairs")
-    full = left.join(_of(tokens, "a", ["tokens"]), "a").join(_of(tokens, "b", ["tokens"]), "b")
+    nodes = left.select(F.col("a").alias("node")).union(left.select("b")).distinct()
+    some = tokens.join(materialize(nodes, "bounded-nodes"), "node", "left_semi")
+    full = left.join(_of(some, "b", ["tokens"]), "b").join(_of(some, "a", ["tokens"]), "a")
     return materialize(
         full.select("a", "b", "a_tokens", "b_tokens").mapInArrow(_verified(options), "a long, b long"),
         name,
     )
 
 
-def _search_trees(options: Joining):
+def _search_trees(options: Joining, best: bool):
     schema = {"a": "int64", "b": "int64", "bound": "int64"}
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for _, part in rows.groupby(["sig", "block"], sort=False):
+        for _, part in rows.groupby(["head", "block"], sort=False):
             held, asks = part[~part["asks"]], part[part["asks"]]
             if not len(held) or not len(asks):
                 continue
-            node = held["node"].to_numpy()
+            node, comps = held["node"].to_numpy(), held["comp"].to_numpy()
             minor = held["minor"].to_numpy()
-            tree = RTree(
-                points(held["counts"].tolist()), held["n"].to_numpy(), held["comp"].to_numpy()
+            tree = RTree(points(held["counts"].tolist()), held["n"].to_numpy(), comps)
+            names = asks["node"].to_numpy()
+            ask, at, bound = tree.search(
+                points(asks["counts"].tolist()), asks["n"].to_numpy(), asks["comp"].to_numpy(), options.rule
             )
-            asked = points(asks["counts"].tolist())
-            for q, a, n, comp in zip(asked, asks["node"], asks["n"], asks["comp"]):
-                at, bound = tree.search(q, int(n), comp, options.rule)
+            if best:
+                # The highest bound of every asking set and component.
+                order = np.lexsort((node[at], -bound, comps[at], ask))
+                ask, at, bound = ask[order], at[order], bound[order]
+                first = np.r_[True, (ask[1:] != ask[:-1]) | (comps[at[1:]] != comps[at[:-1]])]
+                keep = first[: len(ask)]
+            else:
                 # Two asking sets find each other twice; the smaller one reports it.
-                once = ~minor[at] | (node[at] > a)
-                out += [(a, b, s) for b, s in zip(node[at][once], bound[once])]
-        return pd.DataFrame(out, columns=list(schema)).astype(schema)
+                keep = ~minor[at] | (node[at] > names[ask])
+            out.append(np.stack([names[ask[keep]], node[at[keep]], bound[keep]], 1))
+        found = np.concatenate(out) if out else np.empty((0, 3), np.int64)
+        return pd.DataFrame(found, columns=list(schema)).astype(schema)
 
     return run
 
 
 def _tree_pairs(
-    members: DataFrame, comps: DataFrame, tokens: DataFrame, options: Joining
+    members: DataFrame, comps: DataFrame, tokens: DataFrame, options: Joining, best: bool
 ) -> DataFrame:
     """Pairs across components, in buckets that star comparisons left open, by R-tree search.
 
-    Sets outside a bucket's largest component ask; all its sets are held, in blocks.  Buckets
-    of equal members are searched once.
+    ``members`` has ``sig``, ``head``, ``node`` of buckets of three or more.  Open buckets of one
+    head are searched together, each set once.  Sets outside their largest component ask; all are
+    held, in blocks of bounded size.  With ``best`` only the pair of the highest bound of each
+    asking set, component and block is returned.
     """
     placed = members.join(comps, "node")
-    per = placed.groupBy("sig", "comp").agg(
-        F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("mark")
-    )
-    buckets = (
-        per.groupBy("sig")
-        .agg(
-            F.count(F.lit(1)).alias("comps"),
-            F.sum("size").alias("size"),
-            F.sum("mark").alias("mark"),
-            F.max(F.struct("size", "comp"))["comp"].alias("major"),
-        )
-        .filter("comps > 1 and size > 2")
+    apart = placed.groupBy("sig").agg((F.min("comp") != F.max("comp")).alias("apart")).filter("apart")
+    rows = placed.join(apart.select("sig"), "sig", "left_semi")
+    rows = materialize(rows.select("head", "node", "comp").distinct(), "open-members")
+    per = rows.groupBy("head", "comp").agg(F.count(F.lit(1)).alias("size"))
+    heads = per.groupBy("head").agg(
+        F.ceil(F.sum("size") / options.block).cast("int").alias("blocks"),
+        F.max(F.struct("size", "comp"))["comp"].alias("major"),
     )
-    once = buckets.groupBy("size", "mark").agg(F.min(F.struct("sig", "major")).alias("s"))
-    open_buckets = materialize(
-        once.select("s.*", F.ceil(F.col("size") / options.block).cast("int").alias("blocks")),
-        "open-buckets",
-    )
-    rows = materialize(
-        placed.join(open_buckets, "sig").withColumn("minor", F.col("comp") != F.col("major")),
-        "open-members",
+    rows = rows.join(materialize(heads, "open-heads"), "head").withColumn(
+        "minor", F.col("comp") != F.col("major")
     )
+    rows = materialize(rows, "open-rows")
     held = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     asks = rows.filter("minor").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    columns = ["sig", "block", "node", "comp", "minor"]
+    columns = ["head", "block", "node", "comp", "minor"]
     both = held.select(*columns, F.lit(False).alias("asks")).unionByName(
         asks.select(*columns, F.lit(True).alias("asks"))
     )
     n = rows.agg(F.sum(1 + F.col("minor").cast("int") * F.col("blocks"))).first()[0] or 0
     tasks = max(1, -(-n // options.task_rows))
     dealt = both.join(tokens.select("node", "n", "counts"), "node").withColumn(
-        "task", F.pmod(F.xxhash64("sig", "block"), F.lit(tasks))
+        "task", F.pmod(F.xxhash64("head", "block"), F.lit(tasks))
     )
     found = dealt.groupBy("task").applyInPandas(
-        _search_trees(options), "a long, b long, bound long"
+        _search_trees(options, best), "a long, b long, bound long"
     )
     return materialize(found.groupBy("a", "b").agg(F.max("bound").alias("bound")), "tree-pairs")
 
 
-def _still_apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
-    """Pairs of different components, with those of ``b`` as ``to``."""
-    return (
-        pairs.join(comps.select(F.col("node").alias("a"), F.col("comp").alias("from")), "a")
-        .join(comps.select(F.col("node").alias("b"), F.col("comp").alias("to")), "b")
-        .filter(F.col("from") != F.col("to"))
-    )
-
-
 def join(docs: DataFrame, id: str = "doc_id", text: str = "text", options: Joining = Joining()):
     """``id``, ``n_shingles`` and ``component_id`` of every row.
 
@@ -332,42 +339,27 @@ def join(docs: DataFrame, id: str = "doc_id", text: str = "text", options: Joini
         .mapInArrow(_repeated, "sig long, node long"),
         "signature-members",
     )
-    heads = members.groupBy("sig").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("k"))
-    star = (
-        members.join(heads.filter("k > 1").select("sig", "b"), "sig")
-        .filter(F.col("node") != F.col("b"))
-        .groupBy(F.col("node").alias("a"), "b")
-        .agg(F.count(F.lit(1)).alias("shared"))
-    )
+    heads = members.groupBy("sig").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("k"))
+    shared = members.join(heads.filter("k > 1"), "sig")
+    large = materialize(shared.filter("k > 2").select("sig", "head", "node"), "large-buckets")
+    star = shared.filter(F.col("node") != F.col("head"))
+    star = star.select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
     star = materialize(star, "star-pairs")
     nodes = star.select(F.col("a").alias("node")).union(star.select("b")).distinct()
     nodes = materialize(nodes, "nodes")
     tokens = _candidate_tokens(body, prints, nodes, options)
 
-    # The head that shares most signatures decides first; other heads only across components.
-    best = star.groupBy("a").agg(F.max(F.struct("shared", "b"))["b"].alias("b"))
-    links = _links(best, tokens, options, "links-1")
-    comps = materialize(components(nodes, links), "components-1")
-    rest = _still_apart(star.join(best, ["a", "b"], "left_anti"), comps).select("a", "b")
-    links = links.unionByName(_links(rest, tokens, options, "links-2"))
-    comps = materialize(components(nodes, links), "components-2")
+    links = _links(star, tokens, options, "star-links")
+    comps = materialize(components(nodes, links), "star-components")
 
     # Open buckets: of each set and component the pair of the highest bound first, then the rest.
-    pairs = _tree_pairs(members, comps, tokens, options)
-    done = star.select("a", "b").unionByName(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    pairs = materialize(pairs.join(done, ["a", "b"], "left_anti"), "new-pairs")
-    near = (
-        _still_apart(pairs, comps)
-        .groupBy("a", "to")
-        .agg(F.max(F.struct("bound", "b"))["b"].alias("b"))
-        .select("a", "b")
-    )
-    near = materialize(near, "near-pairs")
-    links = links.unionByName(_links(near, tokens, options, "links-3"))
-    comps = materialize(components(nodes, links), "components-3")
-    rest = _still_apart(pairs.join(near, ["a", "b"], "left_anti"), comps).select("a", "b")
-    links = links.unionByName(_links(rest, tokens, options, "links-4"))
-    comps = materialize(components(nodes, links), "components-4")
+    tried = star.select("a", "b").unionByName(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    for best in (True, False):
+        pairs = _tree_pairs(large, comps, tokens, options, best).select("a", "b")
+        pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"), "new-pairs")
+        links = links.unionByName(_links(pairs, tokens, options, "tree-links"))
+        comps = materialize(components(nodes, links), "tree-components")
+        tried = tried.unionByName(pairs)
 
     marked = prints.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     names = marked.filter("comp is not null").groupBy("comp").agg(F.min("id").alias("name"))

@@ -122,8 +122,12 @@ def test_tree_loses_no_pair():
     at = points([count_vector(s) for s in sets])
     sizes = np.array([len(s) for s in sets])
     tree = RTree(at, sizes, np.arange(150))
+    query, row, bound = tree.search(at, sizes, np.arange(150), rule)
+    found = set(zip(query.tolist(), row.tolist()))
+    assert all(np.minimum(at[i], at[j]).sum() == b for i, j, b in zip(query, row, bound))
     for i, s in enumerate(sets):
-        found = set(tree.search(at[i], len(s), i, rule)[0].tolist())
         for j, t in enumerate(sets):
             if j != i and rule.links(len(s), len(t), len(np.intersect1d(s, t))):
-                assert j in found
+                assert (i, j) in found
+    # Within one component nothing is returned.
+    assert not len(RTree(at, sizes, np.zeros(150, int)).search(at, sizes, np.zeros(150, int), rule)[0])
