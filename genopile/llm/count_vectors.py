@@ -90,7 +90,9 @@ class Bands:
         Empty groups say nothing and are left out, unless a set has more of them than there are
         spare groups: two such sets may agree in empty groups only.
         """
-        out = []
+        out: list[np.ndarray] = []
+        if not len(tokens):
+            return np.empty(0, np.uint64)
         marks = mix(tokens ^ U(0x9E3779B97F4A7C15))
         for band in self.of(len(tokens)):
             m, spare = self.groups(band)

@@ -38,21 +38,12 @@ class Joining:
     task_rows: int = 1 << 13
 
 
-class _Hashes(dict):
-    """Word hashes, computed when first asked for; emptied when there are many."""
-
-    def __missing__(self, word: bytes) -> int:
-        found = self[word] = xxhash.xxh64_intdigest(word)
-        return found
-
-
-def _sets(batch: pa.RecordBatch, n: int, hashes: _Hashes) -> Iterator[np.ndarray]:
+def _sets(batch: pa.RecordBatch, n: int) -> Iterator[np.ndarray]:
     """The token set of the text in column 1 of every row."""
     for value in batch.column(1):
         raw = value.as_py()
         words = raw.lower().split() if raw else []
-        if len(hashes) > 400_000:
-            hashes.clear()
+        hashes = {w: xxhash.xxh64_intdigest(w) for w in set(words)}
         yield token_set(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)), n)
 
 
@@ -67,35 +58,25 @@ def _small(batch: pa.RecordBatch, rows: int = 1024) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, rows)
 
 
-def _fingerprints(options: Joining):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
-        for batch in batches:
-            n, node = [], []
-            for tokens in _sets(batch, options.words, hashes):
-                n.append(len(tokens))
-                node.append(_node(tokens) if len(tokens) else None)
-            yield pa.RecordBatch.from_pydict(
-                {"id": batch.column(0), "n": pa.array(n, pa.int64()), "node": pa.array(node, pa.int64())}
-            )
+def _sketches(options: Joining):
+    """Set size, fingerprint and group signatures of every row."""
 
-    return run
-
-
-def _signatures(options: Joining):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands, hashes = Bands(options.rule), _Hashes()
+        bands = Bands(options.rule)
         for large in batches:
             for batch in _small(large):
-                sigs, nodes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-                for tokens in _sets(batch, options.words, hashes):
-                    if len(tokens):
-                        sigs.append(bands.signatures(tokens))
-                        nodes.append(np.full(len(sigs[-1]), _node(tokens), np.int64))
+                n, node, sigs = [], [], []
+                for tokens in _sets(batch, options.words):
+                    n.append(len(tokens))
+                    node.append(_node(tokens) if len(tokens) else None)
+                    sigs.append(bands.signatures(tokens).astype(np.int64))
+                ends = np.cumsum([0, *map(len, sigs)]).astype(np.int32)
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "sig": pa.array(np.concatenate(sigs).astype(np.int64)),
-                        "node": pa.array(np.concatenate(nodes)),
+                        "id": batch.column(0),
+                        "n": pa.array(n, pa.int64()),
+                        "node": pa.array(node, pa.int64()),
+                        "sigs": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sigs))),
                     }
                 )
 
@@ -104,10 +85,9 @@ def _signatures(options: Joining):
 
 def _tokens(options: Joining):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
         for large in batches:
             for batch in _small(large, 256):
-                sets = list(_sets(batch, options.words, hashes))
+                sets = list(_sets(batch, options.words))
                 full = pa.array([len(t) > 0 for t in sets], pa.bool_())
                 sets = [t for t in sets if len(t)]
                 yield pa.RecordBatch.from_pydict(
@@ -167,7 +147,8 @@ def _candidate_tokens(
     ids = prints.join(nodes, "node").groupBy("node").agg(F.min("id").alias("id"))
     same = ids["id"].eqNullSafe(repeated["id"])
     ids = materialize(ids.join(repeated, same).select("node", ids["id"], "many"), "candidates")
-    asked = ids.select(F.col("id").alias("_id"), "many").distinct()
+    # Joined by sorting at every size: the list of ids grows with the documents.
+    asked = ids.select(F.col("id").alias("_id"), "many").distinct().hint("merge")
     rows = body.join(asked, F.col("id").eqNullSafe(F.col("_id"))).select("id", "text", "many")
     kind = body.schema["id"].dataType.simpleString()
     schema = f"id {kind}, many boolean, node long, n long, counts binary, tokens binary"
@@ -242,7 +223,7 @@ def _links(pairs: DataFrame, tokens: DataFrame, options: Joining, name: str) ->
 
 
 def _search_trees(options: Joining, best: bool):
-    schema = {"a": "int64", "b": "int64", "bound": "int64"}
+    schema = {"a": "int64", "b": "int64", "more": "bool"}
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -263,10 +244,13 @@ def _search_trees(options: Joining, best: bool):
                 ask, at, bound = ask[order], at[order], bound[order]
                 first = np.r_[True, (ask[1:] != ask[:-1]) | (comps[at[1:]] != comps[at[:-1]])]
                 keep = first[: len(ask)]
+                # Sets with further candidates, which have to ask again.
+                more = np.bincount(ask, ~keep, minlength=len(names))[ask] > 0
             else:
                 # Two asking sets find each other twice; the smaller one reports it.
                 keep = ~minor[at] | (node[at] > names[ask])
-            out.append(np.stack([names[ask[keep]], node[at[keep]], bound[keep]], 1))
+                more = np.zeros(len(ask), bool)
+            out.append(np.stack([names[ask[keep]], node[at[keep]], more[keep]], 1))
         found = np.concatenate(out) if out else np.empty((0, 3), np.int64)
         return pd.DataFrame(found, columns=list(schema)).astype(schema)
 
@@ -274,14 +258,20 @@ def _search_trees(options: Joining, best: bool):
 
 
 def _tree_pairs(
-    members: DataFrame, comps: DataFrame, tokens: DataFrame, options: Joining, best: bool
+    members: DataFrame,
+    comps: DataFrame,
+    tokens: DataFrame,
+    options: Joining,
+    again: DataFrame | None = None,
 ) -> DataFrame:
     """Pairs across components, in buckets that star comparisons left open, by R-tree search.
 
     ``members`` has ``sig``, ``head``, ``node`` of buckets of three or more.  Open buckets of one
-    head are searched together, each set once.  Sets outside their largest component ask; all are
-    held, in blocks of bounded size.  With ``best`` only the pair of the highest bound of each
-    asking set, component and block is returned.
+    head are searched together, each set once; all are held, in blocks of bounded size.
+
+    At first the sets outside a head's largest component ask, and of each asking set, component
+    and block only the pair of the highest bound is returned; ``more`` marks sets that had further
+    candidates.  These (``again``) ask a second time and get all pairs that are still apart.
     """
     placed = members.join(comps, "node")
     apart = placed.groupBy("sig").agg((F.min("comp") != F.max("comp")).alias("apart")).filter("apart")
@@ -292,9 +282,12 @@ def _tree_pairs(
         F.ceil(F.sum("size") / options.block).cast("int").alias("blocks"),
         F.max(F.struct("size", "comp"))["comp"].alias("major"),
     )
-    rows = rows.join(materialize(heads, "open-heads"), "head").withColumn(
-        "minor", F.col("comp") != F.col("major")
-    )
+    rows = rows.join(materialize(heads, "open-heads"), "head")
+    if again is None:
+        rows = rows.withColumn("minor", F.col("comp") != F.col("major"))
+    else:
+        rows = rows.join(again.withColumn("minor", F.lit(True)), "node", "left")
+        rows = rows.withColumn("minor", F.coalesce("minor", F.lit(False)))
     rows = materialize(rows, "open-rows")
     held = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     asks = rows.filter("minor").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -308,9 +301,9 @@ def _tree_pairs(
         "task", F.pmod(F.xxhash64("head", "block"), F.lit(tasks))
     )
     found = dealt.groupBy("task").applyInPandas(
-        _search_trees(options, best), "a long, b long, bound long"
+        _search_trees(options, again is None), "a long, b long, more boolean"
     )
-    return materialize(found.groupBy("a", "b").agg(F.max("bound").alias("bound")), "tree-pairs")
+    return materialize(found.groupBy("a", "b").agg(F.max("more").alias("more")), "tree-pairs")
 
 
 def join(docs: DataFrame, id: str = "doc_id", text: str = "text", options: Joining = Joining()):
@@ -322,18 +315,19 @@ def join(docs: DataFrame, id: str = "doc_id", text: str = "text", options: Joini
     component of its own text, and null ids never name a component that has another id.  Equal
     sets are linked.  An empty table gives an empty result; other columns are not read.
 
-    Tokens and sets are told apart by 64-bit hashes.  The text is read three times: for
-    fingerprints, for signatures, and, joined to the documents that share a signature, for tokens.
+    Tokens and sets are told apart by 64-bit hashes.  The text is read twice: for fingerprints and
+    signatures, which are stored, and for the tokens of documents that share a signature.
     """
     body = docs.select(
         F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").cast("string").cast("binary").alias("text")
     )
     kind = docs.schema[id].dataType.simpleString()
-    prints = materialize(
-        body.mapInArrow(_fingerprints(options), f"id {kind}, n long, node long"), "fingerprints"
+    sketches = materialize(
+        body.mapInArrow(_sketches(options), f"id {kind}, n long, node long, sigs array<long>"), "sketches"
     )
+    prints = sketches.select("id", "n", "node")
     members = materialize(
-        body.mapInArrow(_signatures(options), "sig long, node long")
+        sketches.select(F.explode("sigs").alias("sig"), "node")
         .repartitionByRange("sig", "node")
         .sortWithinPartitions("sig", "node")
         .mapInArrow(_repeated, "sig long, node long"),
@@ -354,9 +348,12 @@ def join(docs: DataFrame, id: str = "doc_id", text: str = "text", options: Joini
 
     # Open buckets: of each set and component the pair of the highest bound first, then the rest.
     tried = star.select("a", "b").unionByName(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    for best in (True, False):
-        pairs = _tree_pairs(large, comps, tokens, options, best).select("a", "b")
-        pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"), "new-pairs")
+    again = None
+    for _ in range(2):
+        found = _tree_pairs(large, comps, tokens, options, again)
+        again = materialize(found.filter("more").select(F.col("a").alias("node")).distinct(), "again")
+        pairs = found.select("a", "b").join(tried, ["a", "b"], "left_anti")
+        pairs = materialize(pairs, "new-pairs")
         links = links.unionByName(_links(pairs, tokens, options, "tree-links"))
         comps = materialize(components(nodes, links), "tree-components")
         tried = tried.unionByName(pairs)
