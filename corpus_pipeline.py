@@ -11,8 +11,12 @@ from pyspark.sql import functions as F
 
 from genopile.llm import credentials, host_rules, mixing, packing, shingle_join
 from genopile.llm.common import table
+from genopile.llm.count_vectors import Jaccard
 from genopile.storage import materialize
 
+# Near copies of the corpus: five-word shingles, similarity from 0.8; op1's query has its own rule.
+NEAR = shingle_join.Joining(words=5, rule=Jaccard(80, 100))
+
 # SQL cannot express the join's components and the packing; tests hold both against plain code.
 ORACLE_SQL = None
 
@@ -32,7 +36,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     while number in docs.columns:
         number += "_"
     rows = materialize(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
-    groups = shingle_join.join(rows, id=number)
+    groups = shingle_join.join(rows, id=number, options=NEAR)
     gone = materialize(
         groups.filter(F.col("component_id") != F.col(number)).select(number), "near-duplicates"
     )

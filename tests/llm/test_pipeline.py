@@ -1,7 +1,7 @@
 import collections
 
 import corpus_pipeline
-from cases import SMALL, documents, messy, none
+from cases import SMALL, documents, messy, none, prose
 from genopile.llm import packing
 from test_native_rules import base_spans, counts
 from test_placing import check_packing
@@ -52,3 +52,26 @@ def test_messy_and_empty_tables(spark, tmp_path):
         *kept, packed = staged(spark, docs, tmp_path / name)
         assert all(d.columns == docs.columns for d in kept)
         assert (packed.count() > 0) == (name == "messy")
+
+
+def test_near_copies_of_five_word_shingles_from_080(spark):
+    def similarity(a, b):
+        x, y = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a.split(), b.split()))
+        return len(x & y) / len(x | y)
+
+    texts = []
+    for seed in range(4):
+        for more in (58, 62):
+            base = prose(10 * seed + more, 240)
+            texts += [base, f"{base} {prose(1000 + 10 * seed + more, more)}"]
+        base = prose(2000 + seed, 240)
+        words = base.split()
+        words[30::45] = [f"w{i}" for i in range(len(words[30::45]))]
+        texts += [base, " ".join(words)]
+    pairs = list(zip(texts[::2], texts[1::2]))
+    linked = sum(similarity(*p) >= 0.8 for p in pairs)
+    assert linked == 8
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    left = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, frame, SMALL).collect()}
+    for i, p in enumerate(pairs):
+        assert len(left & {2 * i, 2 * i + 1}) == (1 if similarity(*p) >= 0.8 else 2)
