@@ -8,7 +8,9 @@ of each of its buckets first; where a bucket still holds sets of several compone
 its points yields the pairs whose bound reaches the threshold.  Survivors are verified exactly.
 
 Equal sets are one node, so groups of copies cost one node whatever their size, and pairs inside
-one component are never spelled out.  Buckets are cut into blocks of bounded size.
+one component are never spelled out.  Held and asking sets of a bucket are both cut into blocks of
+bounded size.  Where very many sets ask in one bucket, its members are first dealt anew by their
+rarest tokens, of which linked sets share one; a passage that all of them hold is not among these.
 """
 
 from __future__ import annotations
@@ -36,6 +38,8 @@ class Joining:
     # Points of one R-tree, and rows that one task handles, in whole trees.
     block: int = 512
     task_rows: int = 1 << 13
+    # Blocks of asking sets from which on a head's members are dealt anew by rare tokens.
+    hot: int = 4
 
 
 def _sets(batch: pa.RecordBatch, n: int) -> Iterator[np.ndarray]:
@@ -227,7 +231,7 @@ def _search_trees(options: Joining, best: bool):
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for _, part in rows.groupby(["head", "block"], sort=False):
+        for _, part in rows.groupby(["head", "block", "part"], sort=False):
             held, asks = part[~part["asks"]], part[part["asks"]]
             if not len(held) or not len(asks):
                 continue
@@ -257,6 +261,61 @@ def _search_trees(options: Joining, best: bool):
     return run
 
 
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``node`` and ``token`` of every token in column 1."""
+    for large in batches:
+        for batch in _small(large, 64):
+            sets = [np.frombuffer(z.as_buffer(), np.int64) for z in batch.column(1)]
+            node = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), [len(z) for z in sets])
+            token = np.concatenate(sets) if sets else np.empty(0, np.int64)
+            yield pa.RecordBatch.from_pydict({"node": pa.array(node), "token": pa.array(token)})
+
+
+def _by_rare_tokens(nodes: DataFrame, tokens: DataFrame, options: Joining) -> DataFrame:
+    """``head`` (a token), ``node``, ``comp``: every linked pair of ``nodes`` has a common head.
+
+    A set of ``n`` tokens shares at least ``n * num / den`` with a linked one.  With tokens in one
+    order, rare ones first, the first common token of the two is among the first
+    ``n - n * num / den + 1`` of both.  Tokens of one set only are counted but not sorted.
+    """
+    rule = options.rule
+    full = tokens.join(nodes, "node", "left_semi").select("node", "tokens")
+    listed = materialize(full.mapInArrow(_listed, "node long, token long"), "hot-tokens")
+    rare = listed.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+    ordered = (
+        listed.join(materialize(rare, "repeated-tokens"), "token")
+        .groupBy("node")
+        .agg(F.array_sort(F.collect_list(F.struct("k", "token"))).alias("ordered"))
+        .join(tokens.select("node", "n"), "node")
+    )
+    first = F.floor(F.col("n") * (rule.den - rule.num) / rule.den) + 1
+    left = F.greatest(F.lit(0), first - (F.col("n") - F.size("ordered"))).cast("int")
+    heads = ordered.select("node", F.explode(F.slice("ordered", F.lit(1), left)).alias("t"))
+    heads = materialize(
+        heads.select(F.col("t.token").alias("head"), "node").join(nodes, "node"), "rare-heads"
+    )
+    apart = heads.groupBy("head").agg((F.min("comp") != F.max("comp")).alias("apart")).filter("apart")
+    return heads.join(apart.select("head"), "head", "left_semi").select("head", "node", "comp")
+
+
+def _marked(rows: DataFrame, again: DataFrame | None, options: Joining) -> DataFrame:
+    """``rows`` with ``minor`` (the set asks) and the numbers of blocks of held and asking sets."""
+    if again is None:
+        per = rows.groupBy("head", "comp").agg(F.count(F.lit(1)).alias("size"))
+        major = per.groupBy("head").agg(F.max(F.struct("size", "comp"))["comp"].alias("major"))
+        rows = rows.join(materialize(major, "open-heads"), "head")
+        rows = rows.select("head", "node", "comp", (F.col("comp") != F.col("major")).alias("minor"))
+    else:
+        rows = rows.join(again.withColumn("minor", F.lit(True)), "node", "left")
+        rows = rows.select("head", "node", "comp", F.coalesce("minor", F.lit(False)).alias("minor"))
+    rows = materialize(rows, "open-rows")
+    heads = rows.groupBy("head").agg(
+        F.ceil(F.count(F.lit(1)) / options.block).cast("int").alias("blocks"),
+        F.ceil(F.sum(F.col("minor").cast("int")) / options.block).cast("int").alias("parts"),
+    )
+    return rows.join(materialize(heads.filter("parts > 0"), "head-blocks"), "head")
+
+
 def _tree_pairs(
     members: DataFrame,
     comps: DataFrame,
@@ -267,7 +326,9 @@ def _tree_pairs(
     """Pairs across components, in buckets that star comparisons left open, by R-tree search.
 
     ``members`` has ``sig``, ``head``, ``node`` of buckets of three or more.  Open buckets of one
-    head are searched together, each set once; all are held, in blocks of bounded size.
+    head are searched together, each set once; all are held.  Held and asking sets are dealt to
+    blocks by hashes, and each block of the one meets each of the other, so no group grows with
+    its head.  Heads in which more than ``hot`` blocks ask are searched by rare tokens instead.
 
     At first the sets outside a head's largest component ask, and of each asking set, component
     and block only the pair of the highest bound is returned; ``more`` marks sets that had further
@@ -277,28 +338,30 @@ def _tree_pairs(
     apart = placed.groupBy("sig").agg((F.min("comp") != F.max("comp")).alias("apart")).filter("apart")
     rows = placed.join(apart.select("sig"), "sig", "left_semi")
     rows = materialize(rows.select("head", "node", "comp").distinct(), "open-members")
-    per = rows.groupBy("head", "comp").agg(F.count(F.lit(1)).alias("size"))
-    heads = per.groupBy("head").agg(
-        F.ceil(F.sum("size") / options.block).cast("int").alias("blocks"),
-        F.max(F.struct("size", "comp"))["comp"].alias("major"),
-    )
-    rows = rows.join(materialize(heads, "open-heads"), "head")
-    if again is None:
-        rows = rows.withColumn("minor", F.col("comp") != F.col("major"))
-    else:
-        rows = rows.join(again.withColumn("minor", F.lit(True)), "node", "left")
-        rows = rows.withColumn("minor", F.coalesce("minor", F.lit(False)))
-    rows = materialize(rows, "open-rows")
-    held = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    asks = rows.filter("minor").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    columns = ["head", "block", "node", "comp", "minor"]
+    rows = _marked(rows, again, options)
+    hot = F.col("parts") > options.hot
+    nodes = materialize(rows.filter(hot).select("node", "comp").distinct(), "hot-nodes")
+    if nodes.limit(1).count():
+        thin = _marked(_by_rare_tokens(nodes, tokens, options), again, options)
+        rows = rows.filter(~hot).unionByName(thin)
+    rows = materialize(rows, "asked-rows")
+
+    def own(seed: int, n: str):
+        return F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n)).cast("int")
+
+    def every(n: str):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    columns = ["head", "block", "part", "node", "comp", "minor"]
+    held = rows.withColumn("block", own(1, "blocks")).withColumn("part", every("parts"))
+    asks = rows.filter("minor").withColumn("part", own(2, "parts")).withColumn("block", every("blocks"))
     both = held.select(*columns, F.lit(False).alias("asks")).unionByName(
         asks.select(*columns, F.lit(True).alias("asks"))
     )
-    n = rows.agg(F.sum(1 + F.col("minor").cast("int") * F.col("blocks"))).first()[0] or 0
+    n = rows.agg(F.sum(F.col("parts") + F.col("minor").cast("int") * F.col("blocks"))).first()[0] or 0
     tasks = max(1, -(-n // options.task_rows))
     dealt = both.join(tokens.select("node", "n", "counts"), "node").withColumn(
-        "task", F.pmod(F.xxhash64("head", "block"), F.lit(tasks))
+        "task", F.pmod(F.xxhash64("head", "block", "part"), F.lit(tasks))
     )
     found = dealt.groupBy("task").applyInPandas(
         _search_trees(options, again is None), "a long, b long, more boolean"

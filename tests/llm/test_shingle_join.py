@@ -131,3 +131,45 @@ def test_tree_loses_no_pair():
                 assert (i, j) in found
     # Within one component nothing is returned.
     assert not len(RTree(at, sizes, np.zeros(150, int)).search(at, sizes, np.zeros(150, int), rule)[0])
+
+
+def hot_texts():
+    """Very many texts that share most of their words and are not linked, and a few linked pairs."""
+    passage = prose(3, 40)
+    texts = [f"{prose(500 + i, 24)} {passage}" for i in range(500)]
+    return dict(enumerate(texts + [edited(t, i, 1) for i, t in enumerate(texts[:40])]))
+
+
+@pytest.mark.parametrize("options", [{}, {"hot": 1000}])
+def test_no_group_grows_with_a_hot_head(spark, monkeypatch, options):
+    search = shingle_join._search_trees
+
+    def bounded(*args):
+        run = search(*args)
+
+        def checked(rows):
+            keys = [c for c in ("head", "block", "part") if c in rows]
+            assert rows.groupby([*keys, "asks"]).size().max() <= 32
+            return run(rows)
+
+        return checked
+
+    monkeypatch.setattr(shingle_join, "_search_trees", bounded)
+    texts = hot_texts()
+    assert joined(spark, texts, Joining(block=8, task_rows=64, **options)) == brute(texts)
+
+
+def test_rare_tokens_part_a_hot_head(spark):
+    texts, options = hot_texts(), Joining()
+    frame = spark.createDataFrame([(i, t.encode(), False) for i, t in texts.items()], "id long, text binary, many boolean")
+    schema = "id long, many boolean, node long, n long, counts binary, tokens binary"
+    tokens = frame.mapInArrow(shingle_join._tokens(options), schema)
+    node = {r.id: r.node for r in tokens.select("id", "node").collect()}
+    nodes = tokens.select("node", tokens["node"].alias("comp"))
+    heads = {}
+    for r in shingle_join._by_rare_tokens(nodes, tokens, options).collect():
+        heads.setdefault(r.head, set()).add(r.node)
+    assert max(map(len, heads.values())) <= 4
+    for i in range(40):
+        if brute({0: texts[i], 1: texts[500 + i]})[1][1] == 0:
+            assert any({node[i], node[500 + i]} <= h for h in heads.values())
