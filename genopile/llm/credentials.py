@@ -164,10 +164,10 @@ def scan(
         },
     ).drop("_text")
     rows = materialize(found.withColumn("row", F.monotonically_increasing_id()), "secret-spans")
-    # Weak spans that a strong one covers say nothing new.
+    # Weak spans that a strong one contains say nothing new; wider ones do.
     fresh = F.filter(
         F.col("weak"),
-        lambda w: ~F.exists(F.col("base"), lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])),
+        lambda w: ~F.exists(F.col("base"), lambda b: (b["start"] <= w["start"]) & (w["end"] <= b["end"])),
     )
     scoped = rows.filter(F.size("weak") > 0).select(
         "row",

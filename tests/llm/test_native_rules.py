@@ -152,3 +152,22 @@ def test_dense_index_has_no_gaps(spark):
         for k in {r.k for r in got}:
             at = sorted(r.at for r in got if r.k == k)
             assert at == list(range(len(at)))
+
+
+def test_weak_spans_around_strong_ones_are_kept(spark):
+    key = "Qm9" * 10 + "0123456789abcdef01234567" + "Zz/+"
+    texts = [
+        "user=alice near mongodb://admin:Pw1@db.example.com/x?token=abcdef12",
+        f"user=alice {key}.",
+        "user=alice token=" + "Qm9" * 14,
+    ]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = credentials.scan(frame).select(
+        "doc.doc_id", "secrets.spans", credentials.masked(F.col("doc.text"), F.col("secrets.spans")).alias("clean")
+    )
+    by = {r.doc_id: r for r in got.collect()}
+    kinds = {i: {s.kind for s in r.spans} for i, r in by.items()}
+    assert kinds == {0: {0, 3, 5}, 1: {2, 3, 4}, 2: {0, 3}}
+    assert by[0].clean == "<ident> near <endpoint>"
+    assert by[1].clean == "<ident> <key>."
+    assert by[2].clean == "<ident> <assign>"
