@@ -113,8 +113,10 @@ def _levels(events: DataFrame) -> DataFrame:
 
     An event's level starts as its place in the conversation, so only dependencies that point
     forward move it.  Each round raises levels above those of the calls an event waits for; the
-    rounds end when none rises.  A level that has risen past every place and call of its
-    conversation belongs to a cycle, and its event keeps its own place.
+    rounds end when none rises.  Levels never climb round a cycle: events whose last raises form
+    one (looked for in rounds 2, 4, 8, ...), or that still rise after as many rounds as their
+    conversation has edges, are put at a limit past every place and call.  So are the events that
+    wait for these; all of them are cyclic and keep their own places.
     """
     heads = events.filter("kind = 'call' and first").select(
         "conv", F.col("id").alias("dep"), F.col("event").alias("head"), F.col("ord").alias("head_ord")
@@ -125,35 +127,73 @@ def _levels(events: DataFrame) -> DataFrame:
     forward = edges.filter("head_ord >= ord").select("conv").distinct()
     edges = materialize(edges.join(forward, "conv", "left_semi"), "forward-edges")
     limits = edges.groupBy("conv").agg(
-        (F.max(F.greatest("ord", "head_ord")) + F.count(F.lit(1)) + 1).alias("limit")
+        (F.max(F.greatest("ord", "head_ord")) + F.count(F.lit(1)) + 1).alias("limit"),
+        F.count(F.lit(1)).alias("edges"),
     )
     level = materialize(
         edges.select("conv", "event", F.col("ord").alias("level"))
         .union(edges.select("conv", "head", "head_ord"))
         .distinct()
-        .join(limits, "conv"),
+        .join(limits, "conv")
+        .withColumn("by", F.lit(None).cast("long")),
         "call-levels",
     )
+    rounds = 0
     while level.limit(1).count():
-        above = (
+        rounds += 1
+        tops = (
             edges.join(level.select(F.col("event").alias("head"), F.col("level").alias("above")), "head")
             .groupBy("event")
-            .agg(F.max(F.col("above") + 1).alias("above"))
+            .agg(F.max(F.struct((F.col("above") + 1).alias("above"), "head")).alias("top"))
+            .select("event", "top.*")
         )
         raised = F.least("limit", F.greatest("level", F.coalesce("above", "level")))
+        rose = raised > F.col("level")
         level = materialize(
-            level.join(above, "event", "left").select(
-                "conv", "event", raised.alias("level"), "limit", (raised > F.col("level")).alias("rose")
+            level.join(tops, "event", "left").select(
+                "conv",
+                "event",
+                F.when(rose & (F.col("edges") < rounds), F.col("limit")).otherwise(raised).alias("level"),
+                "limit",
+                "edges",
+                F.when(rose, F.col("head")).otherwise(F.col("by")).alias("by"),
+                rose.alias("rose"),
             ),
             "call-levels",
         )
-        rose = level.filter("rose").limit(1).count()
+        more = level.filter("rose").limit(1).count()
         level = level.drop("rose")
-        if not rose:
+        if not more:
             break
+        if rounds > 1 and rounds & (rounds - 1) == 0:
+            loops = _endless(level.filter("level < limit and by is not null").select("event", "by"))
+            top = F.when(F.col("loop"), F.col("limit")).otherwise(F.col("level"))
+            level = materialize(
+                level.join(loops.withColumn("loop", F.lit(True)), "event", "left")
+                .withColumn("level", top)
+                .drop("loop"),
+                "call-levels",
+            )
     return level.select("event", "level", (F.col("level") >= F.col("limit")).alias("cyclic"))
 
 
+def _endless(steps: DataFrame) -> DataFrame:
+    """``event`` of those rows (``event``, ``by``; one an event) whose steps never end.
+
+    Steps double each round.  A chain that ends has events at every distance from its end, so
+    once a doubling drops no row, those left lead into cycles.
+    """
+    far = materialize(steps, "call-steps")
+    n = far.count()
+    while n:
+        ahead = far.select(F.col("event").alias("by"), F.col("by").alias("next"))
+        far = materialize(far.join(ahead, "by").select("event", F.col("next").alias("by")), "call-steps")
+        n, before = far.count(), n
+        if n == before:
+            break
+    return far.select("event")
+
+
 def link(
     messages: DataFrame,
     schemas: Schemas,

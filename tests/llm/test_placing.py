@@ -217,3 +217,61 @@ def test_chat_of_whole_table(spark):
         if r.kind == "result":
             linked = roles.get((r.conv_id, r.turn - 1)) == "assistant"
             assert r.status == ("linked" if linked else "orphan")
+
+
+def limited(monkeypatch, most):
+    """Lets the operator write so many tables, which bounds its rounds."""
+    write, names = tool_calls.materialize, []
+
+    def counted(frame, name):
+        names.append(name)
+        assert len(names) <= most
+        return write(frame, name)
+
+    monkeypatch.setattr(tool_calls, "materialize", counted)
+
+
+def noted(*calls):
+    made = [{"id": i, "name": "note", "arguments": {"text": "t"}, "after": list(after)} for i, after in calls]
+    return json.dumps({"tool_calls": made})
+
+
+def test_cycle_in_a_conversation_of_several_turns(spark, monkeypatch):
+    limited(monkeypatch, 30)
+    rows = [
+        ("c", 0, "assistant", noted(("x", ["y"]), ("y", ["x"]), ("w", ["x"]), ("p", ["q"]))),
+        ("c", 1, "assistant", noted(("z", ["p"]), ("q", []))),
+        ("c", 2, "tool", json.dumps({"tool_call_id": "p", "content": 1})),
+        ("c", 3, "tool", json.dumps({"tool_call_id": "w", "content": 1})),
+    ]
+    by = {(r.chat.kind, r.chat.call_id): r.chat for r in chat(spark, rows)}
+    step = 1 << 20
+    assert {k for k, c in by.items() if c.status == "cyclic"} == {
+        ("call", "x"), ("call", "y"), ("call", "w"), ("result", "w")
+    }
+    assert all(c.level == c.ord for c in by.values() if c.status == "cyclic")
+    levels = [by["call", i].level for i in "qpz"] + [by["result", "p"].level]
+    assert levels == [step + 1, step + 2, step + 3, 2 * step]
+
+
+def test_levels_against_plain_code(spark, monkeypatch):
+    limited(monkeypatch, 60)
+    r = np.random.default_rng(3)
+    rows, want = [], {}
+    for conv in range(40):
+        n = int(r.integers(2, 9))
+        turn = np.sort(r.integers(0, 3, n))
+        after = {i: [int(x) for x in r.integers(0, n, int(r.integers(0, 3))) if x != i] for i in range(n)}
+        place = {}
+        for t in sorted(set(turn.tolist())):
+            held = np.flatnonzero(turn == t).tolist()
+            place |= {i: (t << 20) + k for k, i in enumerate(held)}
+            rows.append((f"c{conv}", t, "assistant", noted(*((f"k{i}", [f"k{x}" for x in after[i]]) for i in held))))
+        level = {}
+        for _ in range(n):
+            for i in set(after) - set(level):
+                if all(x in level for x in after[i]):
+                    level[i] = max([place[i], *(level[x] + 1 for x in after[i])])
+        want |= {(f"c{conv}", f"k{i}"): (level.get(i, place[i]), i not in level) for i in after}
+    got = {(x.row.conv_id, x.chat.call_id): (x.chat.level, x.chat.status == "cyclic") for x in chat(spark, rows)}
+    assert got == want and 20 < sum(c for _, c in want.values()) < len(want) - 20
