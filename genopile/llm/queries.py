@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from genopile.llm import (
+    conversation_repair,
     credentials,
+    decontamination,
     host_rules,
     link_trust,
+    merkle,
     mixing,
     packing,
     pivot_search,
@@ -26,4 +29,7 @@ QUERIES = {
     "op8_pivot_search": pivot_search.query,
     "op9_temperature_mixing": mixing.query,
     "op10_credential_links": credentials.query,
+    "op11_conversation_repair": conversation_repair.query,
+    "op12_merkle_manifest": merkle.query,
+    "op13_decontamination": decontamination.query,
 }

@@ -19,5 +19,5 @@ def test_query_equals_sql(spark, name):
     assert sorted(repr(tuple(r)) for r in frame.select(*columns).collect()) == want
 
 
-def test_ten_queries():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_thirteen_queries():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
