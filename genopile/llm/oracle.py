@@ -92,8 +92,168 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
+LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+# Unsigned CRC-32 of an ASCII text, bit by bit.
+CRC32 = """xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(string_split({}, ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)))"""
+
+CONVERSATION_REPAIR = rf"""
+WITH RECURSIVE shown AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {CRC32.format("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS hit
+  FROM conversations
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN hit = 4 THEN 'user' ELSE role END AS role,
+         CASE hit WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN hit = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM shown WHERE hit <> 0
+), placed AS (
+  SELECT *, coalesce(CAST(conv_id AS VARCHAR), '') AS conv, left(role, 1) AS initial,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS place,
+         NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+         regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS ended
+  FROM damaged
+), judged AS (
+  SELECT *, again AND NOT blank AS duplicate, NOT (blank OR again OR ended) AS truncated,
+         lag(initial) OVER (PARTITION BY conv_id ORDER BY place) || initial AS pair
+  FROM placed
+), counts AS (
+  SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+         count(*) FILTER (truncated) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal,
+         max(place) AS n
+  FROM judged GROUP BY conv
+), inserts(state, met, added, lines) AS (
+  VALUES ('', '', '', ''), ('s', 's', '', ''), ('u', 'u', '', ''), ('a', 'a', '', ''),
+         ('', 'u', 'I', chr(10) || 'user:'), ('s', 'u', 'I', chr(10) || 'user:'), ('a', 'u', 'I', chr(10) || 'user:'),
+         ('u', 'a', 'I', chr(10) || 'assistant:'),
+         ('', 'a', 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+         ('s', 'a', 'II', chr(10) || 'user:' || chr(10) || 'assistant:')
+), moves(met, symbol) AS (
+  VALUES ('', 's'), ('', 'u'), ('s', 'u'), ('u', 'a'), ('a', 'u')
+), edits AS (
+  SELECT conv, place, m.met, m.symbol AS after, CASE WHEN truncated THEN 5 ELSE 0 END AS cost, 'K' AS edit, chr(10) || role || ':' || text AS line
+  FROM judged JOIN moves m ON m.symbol = initial WHERE NOT blank AND NOT duplicate
+  UNION ALL
+  SELECT conv, place, m.met, m.symbol, CASE WHEN truncated THEN 6 ELSE 1 END, 'R',
+         chr(10) || CASE m.symbol WHEN 'u' THEN 'user' ELSE 'assistant' END || ':' || text
+  FROM judged JOIN moves m ON m.symbol IN ('u', 'a') WHERE NOT blank AND NOT duplicate
+  UNION ALL
+  SELECT conv, place, met, met, 2, 'D', '' FROM judged, (VALUES (''), ('s'), ('u'), ('a')) AS states(met)
+), parse AS (
+  SELECT conv, CAST(0 AS BIGINT) AS place, '' AS state, {{'cost': CAST(0 AS BIGINT), 'audit': '', 'talk': ''}} AS best FROM counts
+  UNION ALL
+  SELECT p.conv, e.place, e.after,
+         min({{'cost': p.best.cost + 5 * length(i.added) + e.cost, 'audit': p.best.audit || i.added || e.edit,
+              'talk': p.best.talk || i.lines || e.line}})
+  FROM parse p JOIN inserts i ON i.state = p.state JOIN edits e ON e.conv = p.conv AND e.place = p.place + 1 AND e.met = i.met
+  GROUP BY p.conv, e.place, e.after
+), repaired AS (
+  SELECT conv, min({{'cost': best.cost + 5 * length(added), 'audit': best.audit || added, 'talk': best.talk || lines}}) AS best
+  FROM parse JOIN counts USING (conv) JOIN inserts USING (state)
+  WHERE place = n AND met IN ('', 'a') GROUP BY conv
+)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       CAST(coalesce(best.cost, 0) AS BIGINT) AS cost, coalesce(best.audit, '') AS audit,
+       sha256(coalesce(substr(best.talk, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, coalesce(CAST(conv_id AS VARCHAR), '') AS conv FROM conversations)
+LEFT JOIN counts USING (conv) LEFT JOIN repaired USING (conv)
+"""
+
+FIELD = "coalesce(CAST(strlen({0}) AS VARCHAR) || ':' || {0}, '-')"
+
+MERKLE_MANIFEST = f"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, coalesce('s' || lang, 'n') AS lang,
+         {" || ".join(FIELD.format(c) for c in ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)"))} AS head,
+         text, CASE WHEN {CRC32.format("CAST(doc_id AS VARCHAR)")} % 3 = 0 THEN translate(text, {LETTERS}) ELSE text END AS seen
+  FROM documents
+), hashed AS (
+  SELECT doc_id, lang, sha256(head || {FIELD.format("text")}) AS leaf, sha256(head || {FIELD.format("seen")}) AS found FROM texts
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+         count(*) OVER (PARTITION BY lang) AS n
+  FROM hashed
+), nodes AS (
+  SELECT lang, 0 AS level, place, n, leaf AS digest FROM leaves
+  UNION ALL
+  SELECT lang, level + 1, place // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY place))
+  FROM nodes WHERE n > 1 GROUP BY lang, level, place // 8, n
+), subroots AS (
+  SELECT lang, digest AS subroot, row_number() OVER (ORDER BY lang) - 1 AS place, count(*) OVER () AS n FROM nodes WHERE n = 1
+), top_nodes AS (
+  SELECT 0 AS level, place, n, subroot AS digest FROM subroots
+  UNION ALL
+  SELECT level + 1, place // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY place))
+  FROM top_nodes WHERE n > 1 GROUP BY level, place // 8, n
+), runs AS (
+  SELECT lang, level, place, digest, n FROM nodes WHERE n > 1
+  UNION ALL
+  SELECT NULL, level, place, digest, n FROM top_nodes WHERE n > 1
+), steps AS (
+  SELECT lang, level, place,
+         coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') || '|' ||
+         coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS step
+  FROM runs WINDOW w AS (PARTITION BY lang, level, place // 8 ORDER BY place)
+), inner_paths AS (
+  SELECT l.lang, l.place, list(s.step ORDER BY s.level) AS steps
+  FROM leaves l JOIN steps s ON s.lang = l.lang AND s.place = l.place >> (3 * s.level) GROUP BY l.lang, l.place
+), outer_paths AS (
+  SELECT r.lang, list(s.step ORDER BY s.level) AS steps
+  FROM subroots r JOIN steps s ON s.lang IS NULL AND s.place = r.place >> (3 * s.level) GROUP BY r.lang
+), proofs AS (
+  SELECT l.*, subroot, list_concat(coalesce(i.steps, []), coalesce(o.steps, [])) AS path
+  FROM leaves l JOIN subroots r USING (lang) LEFT JOIN inner_paths i ON i.lang = l.lang AND i.place = l.place
+  LEFT JOIN outer_paths o ON o.lang = l.lang
+), folded AS (
+  SELECT *, list_reduce(list_prepend(found, path),
+           lambda below, step: sha256(split_part(step, '|', 1) || below || split_part(step, '|', 2))) AS folded_root
+  FROM proofs
+)
+SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(path, ''), '|', '')) AS proof_sha256,
+       folded_root, folded_root = root AS verified
+FROM folded, (SELECT digest AS root FROM top_nodes WHERE n = 1)
+"""
+
+ITEM_WORDS = rf"""list_filter(regexp_split_to_array(translate(coalesce(text, ''), {LETTERS}),
+  '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+
+DECONTAMINATION = f"""
+WITH d AS (
+  SELECT doc_id, {ITEM_WORDS} AS w FROM documents
+), b AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {ITEM_WORDS} AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS words
+  FROM (SELECT item, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM (SELECT *, least(len(w), 10) AS n FROM b WHERE len(w) > 0))
+), lengths AS (
+  SELECT DISTINCT n FROM windows
+), scanned AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS words
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, lengths)
+), hits AS (
+  SELECT doc_id, n, i, item FROM scanned JOIN windows USING (n, words)
+), covered AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM hits) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_shingle_join": SHINGLE_JOIN,
     "op6_host_rules": HOST_RULES,
     "op8_pivot_search": TOP_K,
+    "op11_conversation_repair": CONVERSATION_REPAIR,
+    "op12_merkle_manifest": MERKLE_MANIFEST,
+    "op13_decontamination": DECONTAMINATION,
 }

@@ -9,7 +9,7 @@ from genopile.llm.queries import QUERIES
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS FROM '{SMALL}/{t}.parquet'")
     frame = QUERIES[name](spark, SMALL)
     columns = sorted(frame.columns)
