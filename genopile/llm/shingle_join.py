@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from genopile.llm.common import table
 from genopile.llm.components import components
 from genopile.llm.count_vectors import Bands, Jaccard, RTree, U, count_vector, mix, points, token_set
-from genopile.storage import materialize
+from genopile.storage import materialize, release
 
 
 @dataclass(frozen=True)
@@ -40,6 +40,8 @@ class Joining:
     task_rows: int = 1 << 13
     # Blocks of asking sets from which on a head's members are dealt anew by rare tokens.
     hot: int = 4
+    # Most bits of the broadcast filter that keeps other documents' texts out of a shuffle.
+    filter_bits: int = 1 << 27
 
 
 def _sets(batch: pa.RecordBatch, n: int) -> Iterator[np.ndarray]:
@@ -63,16 +65,17 @@ def _small(batch: pa.RecordBatch, rows: int = 1024) -> Iterator[pa.RecordBatch]:
 
 
 def _sketches(options: Joining):
-    """Set size, fingerprint and group signatures of every row."""
+    """Set size, fingerprint, count vector and group signatures of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(options.rule)
         for large in batches:
             for batch in _small(large):
-                n, node, sigs = [], [], []
+                n, node, counts, sigs = [], [], [], []
                 for tokens in _sets(batch, options.words):
                     n.append(len(tokens))
                     node.append(_node(tokens) if len(tokens) else None)
+                    counts.append(count_vector(tokens) if len(tokens) else None)
                     sigs.append(bands.signatures(tokens).astype(np.int64))
                 ends = np.cumsum([0, *map(len, sigs)]).astype(np.int32)
                 yield pa.RecordBatch.from_pydict(
@@ -80,6 +83,7 @@ def _sketches(options: Joining):
                         "id": batch.column(0),
                         "n": pa.array(n, pa.int64()),
                         "node": pa.array(node, pa.int64()),
+                        "counts": pa.array(counts, pa.binary()),
                         "sigs": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sigs))),
                     }
                 )
@@ -139,38 +143,94 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _candidate_tokens(
-    body: DataFrame, prints: DataFrame, nodes: DataFrame, options: Joining
-) -> DataFrame:
-    """``node``, ``n``, ``counts``, ``tokens`` of every node, stored; read from one document each.
+def _bits(ids: DataFrame, most: int) -> np.ndarray:
+    """A bitmap of hashed ids with 16 bits an id, up to ``most``; a full one lets every id pass.
 
-    Where several rows share an id, the join by id also brings sets that were not asked for and
-    brings sets twice; only these rows are sorted out.
+    Each task fills pieces of 4 KB; only these pieces come to the driver.
     """
-    repeated = prints.groupBy("id").agg((F.count(F.lit(1)) > 1).alias("many"))
-    ids = prints.join(nodes, "node").groupBy("node").agg(F.min("id").alias("id"))
-    same = ids["id"].eqNullSafe(repeated["id"])
-    ids = materialize(ids.join(repeated, same).select("node", ids["id"], "many"), "candidates")
-    # Joined by sorting at every size: the list of ids grows with the documents.
-    asked = ids.select(F.col("id").alias("_id"), "many").distinct().hint("merge")
-    rows = body.join(asked, F.col("id").eqNullSafe(F.col("_id"))).select("id", "text", "many")
-    kind = body.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, many boolean, node long, n long, counts binary, tokens binary"
-    made = materialize(rows.mapInArrow(_tokens(options), schema), "tokens")
-    columns = ["node", "n", "counts", "tokens"]
-    wanted = ids.filter("many").select(F.col("node").alias("_node"), F.col("id").alias("_id"))
-    sorted_out = (
-        made.filter("many")
-        .join(
-            wanted,
-            (F.col("node") == F.col("_node")) & F.col("id").eqNullSafe(F.col("_id")),
-            "left_semi",
+    wanted = ids.count() * 16
+    size = 1 << 16
+    while size < min(wanted, most):
+        size *= 2
+
+    def fill(rows: pd.DataFrame) -> pd.DataFrame:
+        piece = np.zeros(1 << 15, bool)
+        piece[rows["bit"].to_numpy() & ((1 << 15) - 1)] = True
+        return pd.DataFrame({"piece": rows["piece"].iloc[:1], "bits": [np.packbits(piece).tobytes()]})
+
+    bit = F.pmod(F.xxhash64("id"), F.lit(size))
+    set_bits = ids.select(bit.alias("bit")).distinct().withColumn("piece", F.shiftright("bit", 15))
+    pieces = set_bits.groupBy("piece").applyInPandas(fill, "piece long, bits binary").collect()
+    out = np.zeros((size >> 15, 1 << 12), np.uint8)
+    for row in pieces:
+        out[row["piece"]] = np.frombuffer(row["bits"], np.uint8)
+    return out.reshape(-1)
+
+
+def _passing(shared):
+    """Rows (id, text, hash) whose hash has its bit set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
+        for batch in batches:
+            at = batch.column(2).to_numpy(zero_copy_only=False) % (8 * len(bits))
+            keep = (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
+            yield batch.select(["id", "text"]).filter(pa.array(keep))
+
+    return run
+
+
+class Tokens:
+    """Token sets of nodes, made from the texts when they are asked for and kept.
+
+    A node is read from one of its documents.  Texts of other documents are kept out of the join
+    by a broadcast bitmap of bounded size, so few texts are shuffled.
+    """
+
+    def __init__(self, body: DataFrame, prints: DataFrame, options: Joining) -> None:
+        self.body, self.prints, self.options = body, prints, options
+        self.repeated = prints.groupBy("id").agg((F.count(F.lit(1)) > 1).alias("many"))
+        spark = body.sparkSession
+        self.made = spark.createDataFrame([], "node long, n long, tokens binary")
+
+    def of(self, nodes: DataFrame) -> DataFrame:
+        """``node``, ``n``, ``tokens`` of at least these nodes (distinct, stored).
+
+        Where several rows share an id, the join by id also brings sets that were not asked for
+        and brings sets twice; only these rows are sorted out.
+        """
+        nodes = materialize(nodes.join(self.made, "node", "left_anti"), "new-nodes")
+        if not nodes.limit(1).count():
+            return self.made
+        ids = self.prints.join(nodes, "node").groupBy("node").agg(F.min("id").alias("id"))
+        same = ids["id"].eqNullSafe(self.repeated["id"])
+        ids = materialize(ids.join(self.repeated, same).select("node", ids["id"], "many"), "candidates")
+        asked = ids.select(F.col("id").alias("_id"), "many").distinct()
+        spark = self.body.sparkSession
+        bits = spark.sparkContext.broadcast(_bits(ids, self.options.filter_bits))
+        kind = self.body.schema["id"].dataType.simpleString()
+        some = self.body.select("id", "text", F.xxhash64("id").alias("h")).mapInArrow(
+            _passing(bits), f"id {kind}, text binary"
         )
-        .select(*columns)
-        .dropDuplicates(["node"])
-    )
-    repeats = materialize(sorted_out, "tokens-of-repeated-ids")
-    return made.filter("not many").select(*columns).unionByName(repeats)
+        # Joined by sorting at every size: the list of ids grows with the documents.
+        rows = some.join(asked.hint("merge"), F.col("id").eqNullSafe(F.col("_id"))).select("id", "text", "many")
+        schema = f"id {kind}, many boolean, node long, n long, counts binary, tokens binary"
+        made = materialize(rows.mapInArrow(_tokens(self.options), schema), "tokens")
+        columns = ["node", "n", "tokens"]
+        wanted = ids.filter("many").select(F.col("node").alias("_node"), F.col("id").alias("_id"))
+        sorted_out = (
+            made.filter("many")
+            .join(
+                wanted,
+                (F.col("node") == F.col("_node")) & F.col("id").eqNullSafe(F.col("_id")),
+                "left_semi",
+            )
+            .select(*columns)
+            .dropDuplicates(["node"])
+        )
+        repeats = materialize(sorted_out, "tokens-of-repeated-ids")
+        self.made = self.made.unionByName(made.filter("not many").select(*columns)).unionByName(repeats)
+        return self.made
 
 
 def _bounded(options: Joining):
@@ -206,19 +266,20 @@ def _of(tokens: DataFrame, side: str, columns: list[str]) -> DataFrame:
     )
 
 
-def _links(pairs: DataFrame, tokens: DataFrame, options: Joining, name: str) -> DataFrame:
+def _links(pairs: DataFrame, vectors: DataFrame, tokens: Tokens, options: Joining, name: str) -> DataFrame:
     """The pairs (``a``, ``b``) that are linked, stored.
 
     ``b`` may be in very many pairs and is looked up first, while rows are narrow.  Token sets are
-    moved only for pairs that the bound leaves.
+    made and moved only for pairs that the bound leaves.
     """
-    bound = pairs.join(_of(tokens, "b", ["n", "counts"]), "b").join(
-        _of(tokens, "a", ["n", "counts"]), "a"
+    bound = pairs.join(_of(vectors, "b", ["n", "counts"]), "b").join(
+        _of(vectors, "a", ["n", "counts"]), "a"
     )
     bound = bound.select("a", "b", "a_n", "b_n", "a_counts", "b_counts")
     left = materialize(bound.mapInArrow(_bounded(options), "a long, b long"), "bounded-pairs")
     nodes = left.select(F.col("a").alias("node")).union(left.select("b")).distinct()
-    some = tokens.join(materialize(nodes, "bounded-nodes"), "node", "left_semi")
+    nodes = materialize(nodes, "bounded-nodes")
+    some = tokens.of(nodes).join(nodes, "node", "left_semi")
     full = left.join(_of(some, "b", ["tokens"]), "b").join(_of(some, "a", ["tokens"]), "a")
     return materialize(
         full.select("a", "b", "a_tokens", "b_tokens").mapInArrow(_verified(options), "a long, b long"),
@@ -279,14 +340,14 @@ def _by_rare_tokens(nodes: DataFrame, tokens: DataFrame, options: Joining) -> Da
     ``n - n * num / den + 1`` of both.  Tokens of one set only are counted but not sorted.
     """
     rule = options.rule
-    full = tokens.join(nodes, "node", "left_semi").select("node", "tokens")
-    listed = materialize(full.mapInArrow(_listed, "node long, token long"), "hot-tokens")
+    full = tokens.join(nodes, "node", "left_semi")
+    listed = materialize(full.select("node", "tokens").mapInArrow(_listed, "node long, token long"), "hot-tokens")
     rare = listed.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
     ordered = (
         listed.join(materialize(rare, "repeated-tokens"), "token")
         .groupBy("node")
         .agg(F.array_sort(F.collect_list(F.struct("k", "token"))).alias("ordered"))
-        .join(tokens.select("node", "n"), "node")
+        .join(full.select("node", "n"), "node")
     )
     first = F.floor(F.col("n") * (rule.den - rule.num) / rule.den) + 1
     left = F.greatest(F.lit(0), first - (F.col("n") - F.size("ordered"))).cast("int")
@@ -319,7 +380,8 @@ def _marked(rows: DataFrame, again: DataFrame | None, options: Joining) -> DataF
 def _tree_pairs(
     members: DataFrame,
     comps: DataFrame,
-    tokens: DataFrame,
+    vectors: DataFrame,
+    tokens: Tokens,
     options: Joining,
     again: DataFrame | None = None,
 ) -> DataFrame:
@@ -342,7 +404,7 @@ def _tree_pairs(
     hot = F.col("parts") > options.hot
     nodes = materialize(rows.filter(hot).select("node", "comp").distinct(), "hot-nodes")
     if nodes.limit(1).count():
-        thin = _marked(_by_rare_tokens(nodes, tokens, options), again, options)
+        thin = _marked(_by_rare_tokens(nodes, tokens.of(nodes.select("node")), options), again, options)
         rows = rows.filter(~hot).unionByName(thin)
     rows = materialize(rows, "asked-rows")
 
@@ -360,7 +422,7 @@ def _tree_pairs(
     )
     n = rows.agg(F.sum(F.col("parts") + F.col("minor").cast("int") * F.col("blocks"))).first()[0] or 0
     tasks = max(1, -(-n // options.task_rows))
-    dealt = both.join(tokens.select("node", "n", "counts"), "node").withColumn(
+    dealt = both.join(vectors, "node").withColumn(
         "task", F.pmod(F.xxhash64("head", "block", "part"), F.lit(tasks))
     )
     found = dealt.groupBy("task").applyInPandas(
@@ -378,17 +440,17 @@ def join(docs: DataFrame, id: str = "doc_id", text: str = "text", options: Joini
     component of its own text, and null ids never name a component that has another id.  Equal
     sets are linked.  An empty table gives an empty result; other columns are not read.
 
-    Tokens and sets are told apart by 64-bit hashes.  The text is read twice: for fingerprints and
-    signatures, which are stored, and for the tokens of documents that share a signature.
+    Tokens and sets are told apart by 64-bit hashes.  The text is read for fingerprints, count
+    vectors and signatures, which are stored, and again for the tokens of sets in pairs that the
+    bound leaves.
     """
     body = docs.select(
         F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").cast("string").cast("binary").alias("text")
     )
     kind = docs.schema[id].dataType.simpleString()
-    sketches = materialize(
-        body.mapInArrow(_sketches(options), f"id {kind}, n long, node long, sigs array<long>"), "sketches"
-    )
-    prints = sketches.select("id", "n", "node")
+    schema = f"id {kind}, n long, node long, counts binary, sigs array<long>"
+    sketches = materialize(body.mapInArrow(_sketches(options), schema), "sketches")
+    prints = materialize(sketches.drop("sigs"), "prints")
     members = materialize(
         sketches.select(F.explode("sigs").alias("sig"), "node")
         .repartitionByRange("sig", "node")
@@ -396,6 +458,8 @@ def join(docs: DataFrame, id: str = "doc_id", text: str = "text", options: Joini
         .mapInArrow(_repeated, "sig long, node long"),
         "signature-members",
     )
+    # The largest table goes before the next ones come.
+    release(sketches)
     heads = members.groupBy("sig").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("k"))
     shared = members.join(heads.filter("k > 1"), "sig")
     large = materialize(shared.filter("k > 2").select("sig", "head", "node"), "large-buckets")
@@ -404,20 +468,22 @@ def join(docs: DataFrame, id: str = "doc_id", text: str = "text", options: Joini
     star = materialize(star, "star-pairs")
     nodes = star.select(F.col("a").alias("node")).union(star.select("b")).distinct()
     nodes = materialize(nodes, "nodes")
-    tokens = _candidate_tokens(body, prints, nodes, options)
+    vectors = prints.join(nodes, "node", "left_semi").select("node", "n", "counts")
+    vectors = materialize(vectors.dropDuplicates(["node"]), "count-vectors")
+    tokens = Tokens(body, prints.select("id", "node"), options)
 
-    links = _links(star, tokens, options, "star-links")
+    links = _links(star, vectors, tokens, options, "star-links")
     comps = materialize(components(nodes, links), "star-components")
 
     # Open buckets: of each set and component the pair of the highest bound first, then the rest.
     tried = star.select("a", "b").unionByName(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
     again = None
     for _ in range(2):
-        found = _tree_pairs(large, comps, tokens, options, again)
+        found = _tree_pairs(large, comps, vectors, tokens, options, again)
         again = materialize(found.filter("more").select(F.col("a").alias("node")).distinct(), "again")
         pairs = found.select("a", "b").join(tried, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "new-pairs")
-        links = links.unionByName(_links(pairs, tokens, options, "tree-links"))
+        links = links.unionByName(_links(pairs, vectors, tokens, options, "tree-links"))
         comps = materialize(components(nodes, links), "tree-components")
         tried = tried.unionByName(pairs)
 
