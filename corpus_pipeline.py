@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from genopile.llm import credentials, host_rules, mixing, packing, shingle_join
 from genopile.llm.common import table
 from genopile.llm.count_vectors import Jaccard
-from genopile.storage import materialize
+from genopile.storage import Tables, materialize, release
 
 # Near copies of the corpus: five-word shingles, similarity from 0.8; op1's query has its own rule.
 NEAR = shingle_join.Joining(words=5, rule=Jaccard(80, 100))
@@ -27,20 +27,29 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of linked ones.
+    """One document of every group of linked ones: that of the smallest id.
 
-    Rows are numbered first, so that repeated and null ids cannot mix up groups.  The removed
-    rows, the smaller part, are stored and taken out by an anti join.
+    A row is known by its id and two hashes of its text, so that texts are not stored again to be
+    numbered.  Rows alike in both are linked and one of them stays, whatever their other columns;
+    texts without words are linked with nothing and all stay, null and empty ones among them.
     """
-    number = "_row"
-    while number in docs.columns:
-        number += "_"
-    rows = materialize(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
-    groups = shingle_join.join(rows, id=number, options=NEAR)
-    gone = materialize(
-        groups.filter(F.col("component_id") != F.col(number)).select(number), "near-duplicates"
+    name = "_row"
+    while name in docs.columns:
+        name += "_"
+    row = F.struct("doc_id", F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b"))
+    named = docs.withColumn(name, row)
+    groups = shingle_join.join(named, id=name, options=NEAR).groupBy(name).agg(
+        F.max(F.col("component_id") != F.col(name)).alias("gone"),
+        (F.count_if(F.col("n_shingles") > 0) > 1).alias("many"),
     )
-    return rows.join(gone, number, "left_anti").select(*(f"`{c}`" for c in docs.columns))
+    marks = materialize(groups.filter("gone or many"), "near-duplicates")
+    same = named[name].eqNullSafe(marks[name])
+    left = named.join(marks, same, "left_anti").select(*(f"`{c}`" for c in docs.columns))
+    alike = materialize(marks.filter("many and not gone"), "rows-alike")
+    if not alike.limit(1).count():
+        return left
+    once = named.join(alike, named[name].eqNullSafe(alike[name]), "left_semi").dropDuplicates([name])
+    return left.unionByName(once.select(*(f"`{c}`" for c in docs.columns)))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,17 +78,40 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack(docs, packing.tokenizer_path())
 
 
+def _stage(function):
+    """A stage that first deletes what the session's last stage stored on its way.
+
+    The result of a stage is written before the next one is called, so nothing reads it any more.
+    """
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if _made:
+            _made.pop().release()
+        with Tables(spark) as made:
+            _made.append(made)
+            return function(spark, docs, sf_dir)
+
+    return run_stage
+
+
+_made: list[Tables] = []
+
 STAGES = [
-    ("quality rules", quality_rules),
-    ("near duplicates", near_duplicates),
-    ("secret scans", secret_scans),
-    ("source mixing", mix_sources),
-    ("packing", pack_sequences),
+    ("quality rules", _stage(quality_rules)),
+    ("near duplicates", _stage(near_duplicates)),
+    ("secret scans", _stage(secret_scans)),
+    ("source mixing", _stage(mix_sources)),
+    ("packing", _stage(pack_sequences)),
 ]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The rows of the last stage, stored; tables between the stages are deleted."""
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if last is not None:
+            release(last)
+        last = docs
+    _made.pop().release()
     return docs

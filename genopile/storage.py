@@ -1,7 +1,8 @@
-"""Intermediate tables in the shared folder the cluster names."""
+"""Intermediate tables in the shared folder the cluster names, and their life cycle."""
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,9 +28,54 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/genopile/{name}-{uuid.uuid4().hex}"
 
 
+class Tables:
+    """Records the tables that are stored while it is entered, so that they can go together.
+
+    ``with Tables(spark) as made: ...`` around the work that reads them, ``made.release()`` once
+    every result of that work is written.  Of nested ones the inner records.
+    """
+
+    _open: list[Tables] = []
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Tables:
+        Tables._open.append(self)
+        return self
+
+    def __exit__(self, *error) -> None:
+        Tables._open.remove(self)
+
+    def release(self) -> None:
+        _delete(self.spark, self.paths)
+        self.paths.clear()
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a table once and read it back, so that its rows and ids are fixed."""
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if Tables._open:
+        Tables._open[-1].paths.append(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` returned, once all that is read from them is written."""
+    if tables:
+        _delete(tables[0].sparkSession, [t.stored_at for t in tables])
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    """Remove folders; plans that are gone free their shuffle files when the driver collects them."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+    gc.collect()
+    jvm.System.gc()
