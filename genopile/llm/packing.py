@@ -15,7 +15,8 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -51,6 +52,10 @@ class Packing:
 WORD_AND_MARKS = re.compile(rb"^([a-z\x80-\xff]*)([!-&(-/:-@\[-`{-~]*)(.*)$", re.MULTILINE)
 
 
+# Bytes of a chunk in a dictionary: its share of the table, its name and its number.
+ENTRY = 200
+
+
 class ChunkIds:
     """Token ids of texts, with the ids of every blank-separated chunk computed once.
 
@@ -58,10 +63,14 @@ class ChunkIds:
     chunks in order.  It lower-cases, so chunks are looked up lower-cased, except in texts that
     may hold one of its special tokens.  Chunks that are one word and marks are tokenized many
     at a time: the ids of each word end at the one that closes a word.  Where the closing ids do
-    not count up to the words, each is tokenized alone.  At ``limit`` chunks the store starts anew.
+    not count up to the words, each is tokenized alone.
+
+    Most chunks are met once.  When the store holds more than ``limit`` bytes, the chunks that were
+    met most often stay, in half of the limit, and the others go.  It is looked at after every
+    block of texts, so it exceeds the limit by the chunks of one block at most.
     """
 
-    def __init__(self, path: str, limit: int = 600_000, joined: int = 256) -> None:
+    def __init__(self, path: str, limit: int = 64 << 20, joined: int = 256) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -73,63 +82,100 @@ class ChunkIds:
 
     def _clear(self) -> None:
         self.places = _Places()
-        self.marks: dict[bytes, list[int]] = {b"": []}
+        self.runs, self.run_ids = _Places(), [[]]
+        self.runs[b""] = 0
         self.starts, self.lengths, self.flat = array("q"), array("q"), array("I")
+        self.met = np.zeros(0, np.int64)
+
+    def size(self) -> int:
+        """About the bytes held: ids, and a chunk's place, name and entry."""
+        return 4 * len(self.flat) + (ENTRY + 16) * len(self.places)
+
+    def _shrink(self) -> None:
+        """Keep the chunks met most often, in half of the limit."""
+        starts, lengths = np.array(self.starts), np.array(self.lengths)
+        order = np.argsort(-self.met, kind="stable")
+        few = np.cumsum(4 * lengths[order] + ENTRY + 16) <= self.limit // 2
+        kept = np.sort(order[few & (self.met[order] > 1)])
+        names, flat = list(self.places), np.frombuffer(self.flat, np.uint32)
+        n = lengths[kept]
+        ends = np.cumsum(n)
+        at = np.repeat(starts[kept] - (ends - n), n) + np.arange(int(n.sum()))
+        self.flat, flat = array("I", flat[at].tobytes()), None
+        self.starts, self.lengths = array("q", (ends - n).tobytes()), array("q", n.tobytes())
+        self.met = self.met[kept] // 2
+        self.places = _Places()
+        for place, i in enumerate(kept.tolist()):
+            self.places[names[i]] = place
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _of_words(self, words: list[str]) -> list[list[int]]:
+    def _of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words one after another, and how many each has."""
         groups = [words[i : i + self.joined] for i in range(0, len(words), self.joined)]
-        out = []
+        flat, sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
         for group, ids in zip(groups, self._encode([" ".join(g) for g in groups])):
-            ends = (np.flatnonzero(self.closes[ids]) + 1).tolist() if ids else []
+            ids = np.array(ids, np.uint32)
+            ends = np.flatnonzero(self.closes[ids]) + 1
             if len(ends) == len(group):
-                out += [ids[a:b] for a, b in zip([0, *ends], ends)]
+                flat.append(ids)
+                sizes.append(np.diff(ends, prepend=0))
             else:
-                out += self._encode(group)
-        return out
+                apart = self._encode(group)
+                flat.append(np.fromiter(chain.from_iterable(apart), np.uint32))
+                sizes.append(np.fromiter(map(len, apart), np.int64, len(apart)))
+        return np.concatenate(flat), np.concatenate(sizes)
 
     def _add(self, chunks: list[bytes]) -> None:
-        """Append the ids of new chunks, in the order in which they got their places."""
-        found = WORD_AND_MARKS.findall(b"\n".join(chunks))
-        single = [i for i, (word, _, rest) in enumerate(found) if rest or not word]
-        stems = list({word for word, _, _ in found})
-        odd, plain = [], []
-        for stem, text in zip(stems, b"\n".join(stems).decode("utf-8").split("\n")):
-            (plain if text.isalpha() else odd).append((stem, text))
-        ids_of = dict(zip([s for s, _ in plain], self._of_words([t for _, t in plain])))
-        odd = {stem for stem, _ in odd if stem}
-        if odd:
-            taken = set(single)
-            single += [i for i, (w, _, _) in enumerate(found) if w in odd and i not in taken]
-            ids_of.update((stem, []) for stem in odd)
-        unseen = list({tail for _, tail, _ in found} - self.marks.keys())
-        self.marks.update(zip(unseen, self._encode([x.decode() for x in unseen])))
-        ids_of[b""] = []
-        marks = self.marks
-        each = [ids_of[w] + marks[t] if t else ids_of[w] for w, t, _ in found]
-        for i, ids in zip(single, self._encode([chunks[i].decode("utf-8") for i in single])):
-            each[i] = ids
-        sizes = np.fromiter(map(len, each), np.int64, len(each))
-        first = len(self.flat)
-        self.flat.extend(chain.from_iterable(each))
-        self.starts.frombytes((first + np.cumsum(sizes) - sizes).tobytes())
-        self.lengths.frombytes(sizes.tobytes())
+        """Append the ids of new chunks, in the order in which they got their places.
+
+        A chunk is a word and a run of marks, or is tokenized whole; words, runs and whole chunks
+        are parts in one table, from which every chunk's ids are gathered.
+        """
+        words, marks, rests = zip(*WORD_AND_MARKS.findall(b"\n".join(chunks)))
+        stems = _Places()
+        stem = np.fromiter(map(stems.__getitem__, words), np.int64, len(words))
+        texts = b"\n".join(stems).decode("utf-8").split("\n")
+        plain = np.fromiter((t.isalpha() for t in texts), bool, len(texts))
+        alone = ~plain[stem] | np.fromiter(map(bool, rests), bool, len(rests))
+        run = np.fromiter(map(self.runs.__getitem__, marks), np.int64, len(marks))
+        if unseen := self.runs.since(len(self.run_ids)):
+            self.run_ids += self._encode([x.decode("utf-8") for x in unseen])
+        flat, sizes = self._of_words([t for t, p in zip(texts, plain) if p])
+        whole = self._encode([chunks[i].decode("utf-8") for i in np.flatnonzero(alone)])
+        more = [*self.run_ids, *whole]
+        flat = np.concatenate([flat, np.fromiter(chain.from_iterable(more), np.uint32)])
+        sizes = np.concatenate([sizes, np.fromiter(map(len, more), np.int64, len(more))])
+        begins = np.cumsum(sizes) - sizes
+        # Parts of every chunk by their places in the table; run 0 is empty.
+        n_words, n_runs = int(plain.sum()), len(self.run_ids)
+        first = np.where(alone, n_words + n_runs + np.cumsum(alone) - 1, (np.cumsum(plain) - 1)[stem])
+        parts = np.stack([first, n_words + np.where(alone, 0, run)], 1).reshape(-1)
+        n = sizes[parts]
+        ends = np.cumsum(n)
+        ids = flat[np.repeat(begins[parts] - (ends - n), n) + np.arange(int(n.sum()))]
+        n = n.reshape(-1, 2).sum(1)
+        starts = len(self.flat) + np.cumsum(n) - n
+        self.flat.frombytes(ids.tobytes())
+        self.starts.frombytes(starts.tobytes())
+        self.lengths.frombytes(n.tobytes())
 
     def of(self, texts: list[bytes]) -> list[np.ndarray]:
-        if len(self.places) > self.limit:
-            self._clear()
+        if self.size() > self.limit:
+            self._shrink()
         split = [(t if b"<|" in t else t.lower()).split() for t in texts]
         counts = np.fromiter(map(len, split), np.int64, len(split))
         at = np.fromiter(
             map(self.places.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum())
         )
-        if self.places.new:
-            self._add(self.places.new)
-            self.places.new = []
+        if new := self.places.since(len(self.lengths)):
+            self._add(new)
         if not len(at):
             return [np.empty(0, np.uint32) for _ in texts]
+        self.met = np.bincount(at, minlength=len(self.places)) + np.pad(
+            self.met, (0, len(self.places) - len(self.met))
+        )
         n = np.frombuffer(self.lengths, np.int64)[at]
         ends = np.cumsum(n)
         steps = np.arange(int(ends[-1]))
@@ -141,17 +187,15 @@ class ChunkIds:
 
 
 class _Places(dict):
-    """Numbers chunks as they are first looked up, and lists the new ones."""
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.new: list[bytes] = []
+    """Numbers chunks as they are first looked up."""
 
     def __missing__(self, chunk: bytes) -> int:
         place = self[chunk] = len(self)
-        self.new.append(chunk)
         return place
 
+    def since(self, first: int) -> list[bytes]:
+        return list(islice(self, first, None))
+
 
 def _blocks(texts: list[bytes | None], most: int = 1 << 21) -> Iterator[list[bytes]]:
     block, size = [], 0
@@ -165,9 +209,15 @@ def _blocks(texts: list[bytes | None], most: int = 1 << 21) -> Iterator[list[byt
         yield block
 
 
+@lru_cache(maxsize=1)
+def _chunk_ids(path: str) -> ChunkIds:
+    """One tokenizer and store a worker process, for all its tasks."""
+    return ChunkIds(path)
+
+
 def _cut(path: str, options: Packing, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = ChunkIds(path)
+        ids_of = _chunk_ids(path)
         for batch in (large.slice(i, 256) for large in batches for i in range(0, large.num_rows, 256)):
             at = 0
             for block in _blocks(batch.column(1).to_pylist()):
