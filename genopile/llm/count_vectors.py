@@ -80,30 +80,39 @@ class Bands:
         apart = self.rule.apart(2 * self.uppers[band])
         if not apart:
             return 1, 0
-        spare = 1 + apart // 32
+        spare = 1 + apart // 8
         return apart + 1 + spare, spare
 
     def signatures(self, tokens: np.ndarray) -> np.ndarray:
-        """A hash of the content of every token group, by band.
+        return self.signed(tokens)[0]
+
+    def signed(self, tokens: np.ndarray) -> tuple[np.ndarray, list[int]]:
+        """A hash of the content of every token group, by band, and how many may be dropped.
 
         Tokens are dealt to groups by their high bits, so a sorted set falls apart in order.
         Empty groups say nothing and are left out, unless a set has more of them than there are
-        spare groups: two such sets may agree in empty groups only.
+        spare groups: two such sets may agree in empty groups only.  The last bit of a hash is
+        that of its band, and of the hashes of either bit so many may be dropped as given: linked
+        sets agree in more than the spare groups, less the empty ones.
         """
         out: list[np.ndarray] = []
+        drops = [0, 0]
         if not len(tokens):
-            return np.empty(0, np.uint64)
+            return np.empty(0, np.uint64), drops
         marks = mix(tokens ^ U(0x9E3779B97F4A7C15))
         for band in self.of(len(tokens)):
             m, spare = self.groups(band)
             group = ((tokens >> U(33)) * U(m)) >> U(31)
             first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
             name = group[first] + U(band << 40)
-            out.append(mix(np.add.reduceat(marks, first) + mix(name)))
+            hashes = mix(np.add.reduceat(marks, first) + mix(name))
+            drops[band & 1] = spare - (m - len(first))
             if m - len(first) > spare:
                 empty = np.setdiff1d(np.arange(m).astype(np.uint64), group[first])
-                out.append(mix(mix(empty + U(band << 40)) + U(1)))
-        return np.concatenate(out) if out else np.empty(0, np.uint64)
+                hashes = np.concatenate([hashes, mix(mix(empty + U(band << 40)) + U(1))])
+                drops[band & 1] = spare
+            out.append(hashes & ~U(1) | U(band & 1))
+        return (np.concatenate(out) if out else np.empty(0, np.uint64)), drops
 
 
 COORDINATES = 256

@@ -1,8 +1,8 @@
 """N-gram Jaccard join: groups of texts whose sets of word n-grams are similar.
 
 Tokens (word n-grams) are hashed into groups.  Linked sets differ in a bounded number of tokens,
-each of which spoils one group, so they agree in the whole content of some group: an equi-join on
-group signatures finds every linked pair and few others.  Group counts are points; the summed
+each of which spoils one group, so they agree in the whole content of some groups: an equi-join on
+group signatures, less the most common ones of each set, finds every linked pair and few others.  Group counts are points; the summed
 minima of two points' coordinates bound an overlap.  Every set is compared with the smallest set
 of each of its buckets first; where a bucket still holds sets of several components, an R-tree of
 its points yields the pairs whose bound reaches the threshold.  Survivors are verified exactly.
@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from genopile.llm.common import table
@@ -71,12 +71,14 @@ def _sketches(options: Joining):
         bands = Bands(options.rule)
         for large in batches:
             for batch in _small(large):
-                n, node, counts, sigs = [], [], [], []
+                n, node, counts, sigs, drops = [], [], [], [], []
                 for tokens in _sets(batch, options.words):
                     n.append(len(tokens))
                     node.append(_node(tokens) if len(tokens) else None)
                     counts.append(count_vector(tokens) if len(tokens) else None)
-                    sigs.append(bands.signatures(tokens).astype(np.int64))
+                    hashes, few = bands.signed(tokens)
+                    sigs.append(hashes.astype(np.int64))
+                    drops.append(few)
                 ends = np.cumsum([0, *map(len, sigs)]).astype(np.int32)
                 yield pa.RecordBatch.from_pydict(
                     {
@@ -84,6 +86,7 @@ def _sketches(options: Joining):
                         "n": pa.array(n, pa.int64()),
                         "node": pa.array(node, pa.int64()),
                         "counts": pa.array(counts, pa.binary()),
+                        "drops": pa.array(drops, pa.list_(pa.int64())),
                         "sigs": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sigs))),
                     }
                 )
@@ -143,6 +146,22 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _telling(members: DataFrame, drops: DataFrame) -> DataFrame:
+    """``sig``, ``node`` without each set's most common signatures, as many as it may drop.
+
+    Linked sets share more signatures of a band than either drops there.  Both drop by one order
+    of all signatures, so the rarest shared one stays with both.  A passage that many texts hold
+    makes a few groups of each agree; these are the ones that go.
+    """
+    common = members.groupBy("sig").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+    of_node = drops.dropDuplicates(["node"])
+    rows = members.join(common, "sig").join(of_node, "node")
+    bit = F.col("sig").bitwiseAND(F.lit(1))
+    order = Window.partitionBy("node", bit).orderBy(F.col("k").desc(), "sig")
+    ranked = rows.withColumn("place", F.row_number().over(order))
+    return ranked.filter(F.col("place") > F.get("drops", bit)).select("sig", "node")
+
+
 def _bits(ids: DataFrame, most: int) -> np.ndarray:
     """A bitmap of hashed ids with 16 bits an id, up to ``most``; a full one lets every id pass.
 
@@ -448,7 +467,7 @@ def join(docs: DataFrame, id: str = "doc_id", text: str = "text", options: Joini
         F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").cast("string").cast("binary").alias("text")
     )
     kind = docs.schema[id].dataType.simpleString()
-    schema = f"id {kind}, n long, node long, counts binary, sigs array<long>"
+    schema = f"id {kind}, n long, node long, counts binary, drops array<long>, sigs array<long>"
     sketches = materialize(body.mapInArrow(_sketches(options), schema), "sketches")
     prints = materialize(sketches.drop("sigs"), "prints")
     members = materialize(
@@ -460,6 +479,7 @@ def join(docs: DataFrame, id: str = "doc_id", text: str = "text", options: Joini
     )
     # The largest table goes before the next ones come.
     release(sketches)
+    members = materialize(_telling(members, prints.select("node", "drops")), "telling-members")
     heads = members.groupBy("sig").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("k"))
     shared = members.join(heads.filter("k > 1"), "sig")
     large = materialize(shared.filter("k > 2").select("sig", "head", "node"), "large-buckets")

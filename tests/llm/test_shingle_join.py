@@ -112,6 +112,33 @@ def test_linked_sets_share_a_signature():
         assert np.intersect1d(bands.signatures(a), bands.signatures(b)).size
 
 
+def telling(sigs, drops, order):
+    """Signatures left when the first ones of either bit, in a common order, are dropped."""
+    left = set()
+    for bit in (0, 1):
+        mine = sorted((s for s in sigs.tolist() if s & 1 == bit), key=lambda s: order.setdefault(s, len(order)))
+        left.update(mine[max(0, drops[bit]) :])
+    return left
+
+
+def test_linked_sets_share_a_signature_after_the_common_ones_went():
+    """Shared signatures come first in the order, so as many of them go as may."""
+    r = np.random.default_rng(3)
+    for rule in (Jaccard(), Jaccard(80, 100)):
+        bands = Bands(rule)
+        for _ in range(1500):
+            n = int(r.integers(1, 400)) if r.random() < 0.8 else int(r.integers(400, 3000))
+            a = np.unique(r.integers(0, 2**63, n).astype(np.uint64))
+            drop = int(r.integers(0, 1 + n // 6))
+            extra = r.integers(0, 2**63, int(r.integers(0, 1 + n // 6))).astype(np.uint64)
+            b = np.unique(np.concatenate([a[drop:], extra]))
+            if not len(b) or not rule.links(len(a), len(b), len(np.intersect1d(a, b))) or np.array_equal(a, b):
+                continue
+            (x, few_x), (y, few_y) = bands.signed(a), bands.signed(b)
+            order = {s: i for i, s in enumerate(np.intersect1d(x, y).tolist())}
+            assert telling(x, few_x, order) & telling(y, few_y, order)
+
+
 def test_tree_loses_no_pair():
     rule, r = Jaccard(), np.random.default_rng(2)
     base = r.integers(0, 2**63, 200).astype(np.uint64)
