@@ -28,10 +28,10 @@ CTES = {
                      concat('r', concat_ws('.', l_orderkey, l_partkey, l_suppkey, l_linenumber, cast(l_quantity as int))) as name,
                      l_linenumber, cast(l_quantity as int) as qty, z.doc_id, z.size,
                      cast((l_orderkey * 31 + l_linenumber * 7) % least(60, case when z.size < 109 then z.size else 60 end) + 1 as int) as w0,
-                     (z.n_wins * h * h * h) // 1000000000 as i,
+                     (z.n_wins * ((h * h) // 1000000 * h // 1000000)) // 1000000 as i,
                      l_suppkey % 3 = 1 or (l_suppkey % 3 = 2 and l_linenumber % 2 = 0) as other,
                      repeat(substr('+5:?DIN', l_linenumber, 1), 25) || repeat('I', 25) as qual
-              from (select *, ((l_orderkey * 31 + l_linenumber * 7 + l_suppkey * 13) % 1000)::bigint as h from lineitem) y
+              from (select *, ((l_orderkey * 31 + l_linenumber * 7 + l_suppkey * 13) % 1000000)::bigint as h from lineitem) y
               left join sized z on z.doc_id = y.l_partkey % (select count(*) from documents)) l
         left join windows t on t.doc_id = l.doc_id and t.i = l.i""",
     "aln": """

@@ -73,11 +73,11 @@ def _placed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").cast("int").alias("qty"),
         F.pmod(F.col("l_partkey"), n_docs).alias("doc_id"),
         (F.col("l_orderkey") * 31 + F.col("l_linenumber") * 7).alias("mark"),
-        F.pmod(F.col("l_orderkey") * 31 + F.col("l_linenumber") * 7 + F.col("l_suppkey") * 13, F.lit(1000)).alias("h"),
+        F.pmod(F.col("l_orderkey") * 31 + F.col("l_linenumber") * 7 + F.col("l_suppkey") * 13, F.lit(1000000)).alias("h"),
     )
     items = items.join(base.select("doc_id", "size", "n_wins"), "doc_id", "left").withColumns(
         {
-            "i": F.expr("(n_wins * h * h * h) div 1000000000"),
+            "i": F.expr("(n_wins * ((h * h) div 1000000 * h div 1000000)) div 1000000"),
             "short": F.col("size") < _WINDOW,
             "w0": (F.pmod(F.col("mark"), F.least(F.lit(_STARTS), F.when(F.col("size") < _WINDOW, F.col("size")).otherwise(_STARTS))) + 1).cast("int"),
         }

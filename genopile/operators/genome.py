@@ -61,17 +61,21 @@ def key_by_pos(reads: DataFrame) -> DataFrame:
 def with_cum_pos(rows: DataFrame, contigs: DataFrame, chrom: str = "rname") -> DataFrame:
     """Position on one axis over all contigs.
 
-    No broadcast is forced: the planner broadcasts the dictionary when its measured size is
+    Rows of a contig that the dictionary lacks stay, without an order and a position.  No broadcast is forced: the planner broadcasts the dictionary when its measured size is
     below the session's limit, and otherwise sorts and splits hot contigs.
     """
     lookup = contigs.select(F.col("chrom").alias(chrom), "chrom_ord", "offset")
-    return rows.join(lookup, chrom).withColumn("cum_pos", F.col("offset") + F.col("pos"))
+    return rows.join(lookup, chrom, "left").withColumn("cum_pos", F.col("offset") + F.col("pos"))
 
 
 def genome_sort(rows: DataFrame) -> DataFrame:
-    """Genome order; sample and read name break ties, so a deep position can be split."""
-    ties = [c for c in ("sample", "qname") if c in rows.columns]
-    return rows.orderBy("chrom_ord", "pos", *ties)
+    """Genome order; sample and read name break ties, so a deep position can be split.
+
+    Rows of unknown contigs come last, by contig name.
+    """
+    ties = [c for c in ("rname", "sample", "qname") if c in rows.columns]
+    first, *rest = (["rname", "pos", *ties[1:]] if "rname" in ties else ["pos", *ties])
+    return rows.orderBy(F.col("chrom_ord").asc_nulls_last(), first, *rest)
 
 
 def ref_bases(positions: DataFrame, tiles: DataFrame, tile: int = TILE) -> DataFrame:

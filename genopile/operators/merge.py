@@ -17,9 +17,10 @@ def union_samples(*tables: DataFrame) -> DataFrame:
 
 
 def merged_order(rows: DataFrame, contigs: DataFrame) -> DataFrame:
-    """Genome order, then type."""
+    """Genome order, then type; calls on contigs that the dictionary lacks come last, by name."""
     lookup = contigs.select("chrom", "chrom_ord")
-    return rows.join(lookup, "chrom").orderBy("chrom_ord", "pos", "type").drop("chrom_ord")
+    placed = rows.join(lookup, "chrom", "left")
+    return placed.orderBy(F.col("chrom_ord").asc_nulls_last(), "chrom", "pos", "type").drop("chrom_ord")
 
 
 def exact_dedupe(rows: DataFrame) -> DataFrame:

@@ -14,9 +14,10 @@ def equal_bounds(rows: DataFrame, n_segments: int) -> DataFrame:
 
     A bound is the position of every ``count / n_segments``-th record in genome order.  Only
     a histogram of positions is formed; its running sum is kept distributed.  At most about
-    twice ``n_segments`` rows come back, whatever the data.
+    twice ``n_segments`` rows come back, whatever the data.  Rows without a position on the axis
+    count for nothing.
     """
-    histogram = rows.groupBy("cum_pos").agg(F.count(F.lit(1)).alias("n"))
+    histogram = rows.filter(F.col("cum_pos").isNotNull()).groupBy("cum_pos").agg(F.count(F.lit(1)).alias("n"))
     running = exclusive_prefix(histogram, "cum_pos", [], {"n": "before"})
     total = histogram.agg(F.sum("n")).scalar()
     step = F.greatest(F.lit(1).cast("bigint"), F.floor(total / n_segments).cast("bigint"))
@@ -59,10 +60,13 @@ def _bound_array(bounds: DataFrame) -> Column:
 def assign_segment(rows: DataFrame, bounds: DataFrame, n_segments: int) -> DataFrame:
     """Segment of each record without overlap: the first whose bound is not below it.
 
+    Records without a position on the axis have no segment.
+
     The bounds reach every task as one small array; no join and no shuffle.
     """
     with_bounds = rows.withColumn("_bs", _bound_array(bounds))
-    return with_bounds.withColumn("seg", _below(F.col("_bs"), F.col("cum_pos"), n_segments)).drop("_bs")
+    seg = _below(F.col("_bs"), F.col("cum_pos"), n_segments)
+    return with_bounds.withColumn("seg", F.when(F.col("cum_pos").isNotNull(), seg)).drop("_bs")
 
 
 def halo_segments(rows: DataFrame, bounds: DataFrame, n_segments: int, halo: int = HALO) -> DataFrame:
@@ -70,4 +74,5 @@ def halo_segments(rows: DataFrame, bounds: DataFrame, n_segments: int, halo: int
     with_bounds = rows.withColumn("_bs", _bound_array(bounds))
     first = _below(F.col("_bs"), F.col("cum_pos"), n_segments)
     last = _below(F.col("_bs"), F.col("cum_pos") + halo, n_segments)
-    return with_bounds.withColumn("seg", F.explode(F.sequence(first, last))).drop("_bs")
+    segs = F.when(F.col("cum_pos").isNotNull(), F.sequence(first, last))
+    return with_bounds.withColumn("seg", F.explode_outer(segs)).drop("_bs")

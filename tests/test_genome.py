@@ -172,3 +172,17 @@ def test_reads_of_one_name_go_their_own_ways(spark):
     ref = "".join(rng.choice("ACGT") for _ in range(2000))
     got = _single(spark, {"chr1": ref}, [("same", ref[1000:1050]), ("same", ref[1500:1550])])
     assert sorted(r.pos for r in got) == [1001, 1501]
+
+
+def test_rows_on_unknown_contigs_stay_and_come_last(spark):
+    contigs = spark.createDataFrame([("c1", 1, 10, 0), ("c2", 2, 10, 10)], "chrom string, chrom_ord long, len long, offset long")
+    reads = spark.createDataFrame([("x9", 3, "r3"), ("c2", 4, "r2"), ("c1", 5, "r1"), ("x1", 1, "r4")], "rname string, pos int, qname string")
+    placed = genome.with_cum_pos(reads, contigs)
+    assert [(r.qname, r.cum_pos) for r in genome.genome_sort(placed).collect()] == [("r1", 5), ("r2", 14), ("r4", None), ("r3", None)]
+    bounds = tiling.equal_bounds(placed, 2)
+    assert sorted(r.bound for r in bounds.collect()) == [5, 14]
+    assert {r.qname: r.seg for r in tiling.assign_segment(placed, bounds, 2).collect()} == {"r1": 0, "r2": 1, "r3": None, "r4": None}
+    halo = sorted((r.qname, r.seg) for r in tiling.halo_segments(placed, bounds, 2, 16).collect() if r.seg is None)
+    assert halo == [("r3", None), ("r4", None)]
+    calls = reads.select(F.col("rname").alias("chrom"), "pos", F.lit("SNP").alias("type"))
+    assert [r.chrom for r in merge.merged_order(calls, contigs).collect()] == ["c1", "c2", "x1", "x9"]
