@@ -10,6 +10,7 @@ JVM functions only.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,13 +27,15 @@ RULES = (
     ("allow", "org/fr/"),
 )
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-HREF = r"(?i)\bhref\s*=\s*[\"']?\s*([a-z][a-z0-9+.-]*://[^\s\"'<>]*)"
+# Links with a host, with or without a scheme.
+LINK = r"(?i)\b(?:href|src|action)\s*=\s*[\"']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^\s\"'<>]*)"
 
 
 @dataclass(frozen=True)
 class Flow:
     damping: float = 0.85
-    rounds: int = 10
+    # Mass that may still move when the ranks are taken, of the seeds' 1: 86 rounds at most.
+    tolerance: float = 1e-6
     # Blocked where distrust > factor * (trust + share of the pages).
     factor: float = 2.0
 
@@ -60,34 +63,39 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def targets_of(html: Column) -> Column:
-    """Distinct hosts that a page's absolute links name."""
-    found = F.regexp_extract_all(html, F.lit(HREF), F.lit(1))
-    return F.array_distinct(F.transform(found, lambda x: host_of(x)))
+    """Distinct hosts that a page's links name, of pages, images, scripts and forms."""
+    found = F.regexp_extract_all(html, F.lit(LINK), F.lit(1))
+    return F.array_distinct(F.transform(found, lambda x: host_of(F.concat(F.lit(":"), x))))
 
 
 def _ranked(edges: DataFrame, seeds: DataFrame, options: Flow, name: str) -> DataFrame:
     """``host``, ``rank``: PageRank that restarts at the seeds (``host``, ``mass``; sum 1).
 
     ``edges`` has ``from``, ``to``, ``share`` (summing to 1 over ``from``).  Mass of hosts without
-    edges goes back to the seeds, whose total stays 1 by what the round has lost.
+    edges goes back to the seeds, so ranks are in proportion to the sum of what the seeds' mass
+    brings a host after one link, two links and so on.  A round moves what arrived last by one more
+    link; the rounds end where no edge leads on, or where less than ``tolerance`` of the seeds'
+    mass still moves.
     """
-    rank = seeds.select("host", F.col("mass").alias("rank"))
-    for number in range(options.rounds):
-        sent = (
-            edges.join(rank.select(F.col("host").alias("from"), "rank"), "from")
-            .groupBy(F.col("to").alias("host"))
-            .agg((options.damping * F.sum(F.col("rank") * F.col("share"))).alias("got"))
-        )
-        sent = materialize(sent, f"{name}-sent")
-        arrived = sent.agg(F.sum("got")).first()[0] or 0.0
-        if not arrived:
-            # No edge leads on from here: everything restarts at the seeds.
-            return seeds.select("host", F.col("mass").alias("rank"))
-        both = sent.select("host", "got").unionByName(
-            seeds.select("host", (F.col("mass") * (1.0 - arrived)).alias("got"))
-        )
-        rank = materialize(both.groupBy("host").agg(F.sum("got").alias("rank")), f"{name}-rank")
-    return rank
+    moving = seeds.select("host", F.col("mass").alias("rank"))
+    parts = [moving]
+    while True:
+        sent = edges.join(moving.select(F.col("host").alias("from"), "rank"), "from")
+        sent = sent.groupBy(F.col("to").alias("host")).agg((options.damping * F.sum(F.col("rank") * F.col("share"))).alias("rank"))
+        moving = materialize(sent, f"{name}-sent")
+        left = moving.agg(F.sum("rank")).first()[0] or 0.0
+        parts.append(moving)
+        if left <= options.tolerance:
+            break
+        if len(parts) == 16:
+            parts = [materialize(_summed(parts), f"{name}-rank")]
+    rank = materialize(_summed(parts), f"{name}-rank")
+    total = rank.agg(F.sum("rank")).first()[0] or 1.0
+    return rank.select("host", (F.col("rank") / F.lit(total)).alias("rank"))
+
+
+def _summed(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts).groupBy("host").agg(F.sum("rank").alias("rank"))
 
 
 def judge(
