@@ -89,7 +89,8 @@ def _linked(weak: DataFrame, reach: int) -> DataFrame:
 
     ``weak`` has ``row``, ``start``, ``end``, ``kind`` and ``weak`` (false for strong spans, which
     only complete others).  An access span or a weak identifier opens a scope; scopes that touch
-    are merged by their running maximum.  A scope counts when it also holds a secret part.
+    are merged by their running maximum.  A part is in a scope that it touches, wherever it starts.
+    A scope counts when it also holds a secret part.
     """
     anchor = F.col("kind").isin(KINDS.index("access"), KINDS.index("ident"))
     begin, end = F.greatest(F.lit(0), F.col("start") - reach), F.col("end") + reach
@@ -112,8 +113,14 @@ def _linked(weak: DataFrame, reach: int) -> DataFrame:
             )
         ),
     )
-    parts = weak.withColumn("bin", F.floor(F.col("start") / width).cast("int"))
-    inside = parts.join(binned, ["row", "bin"]).filter("start >= low and start <= high")
+    bin_of = lambda c: F.floor(F.col(c) / width).cast("int")
+    parts = weak.withColumn("bin", F.explode(F.sequence(bin_of("start"), bin_of("end"))))
+    # A part and a scope that share several bins meet in the first of them.
+    inside = parts.join(binned, ["row", "bin"]).filter(
+        (F.col("start") <= F.col("high"))
+        & (F.col("end") >= F.col("low"))
+        & (F.col("bin") == F.greatest(bin_of("start"), bin_of("low")))
+    )
     secret = F.col("kind").isin(*(KINDS.index(k) for k in ("assign", "hex", "key")))
     good = inside.groupBy("row", "scope").agg(F.max(secret.cast("int")).alias("complete"))
     return (

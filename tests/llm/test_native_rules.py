@@ -1,6 +1,8 @@
 import hashlib
+import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -171,3 +173,76 @@ def test_weak_spans_around_strong_ones_are_kept(spark):
     assert by[0].clean == "<ident> near <endpoint>"
     assert by[1].clean == "<ident> <key>."
     assert by[2].clean == "<ident> <assign>"
+
+
+def ranks(links, seeds, damping=0.85):
+    """Personalised PageRank by a dense solve; mass without an edge goes back to the seeds."""
+    hosts = sorted({h for e in links for h in e} | set(seeds))
+    at = {h: i for i, h in enumerate(hosts)}
+    move = np.zeros((len(hosts), len(hosts)))
+    for (a, b), n in links.items():
+        move[at[b], at[a]] += n / sum(m for (x, _), m in links.items() if x == a)
+    y = np.linalg.solve(np.eye(len(hosts)) - damping * move, [seeds.get(h, 0.0) for h in hosts])
+    return dict(zip(hosts, y / y.sum()))
+
+
+def test_ranks_equal_a_dense_solve_far_from_the_seeds(spark):
+    """A chain longer than any fixed number of rounds, a cycle, links without a scheme, repeats."""
+    chain = [f"c{i}.io" for i in range(14)]
+    links = {(a, b): 1 for a, b in zip(chain, [*chain[1:], "bad.net"])}
+    links |= {("x.io", "y.io"): 1, ("y.io", "x.io"): 1, ("y.io", "bad.net"): 1, ("good.org", "x.io"): 1}
+    urls = {"bad.net": "http://bad.net/", "good.org": "http://good.org/fr/"}
+    rows = []
+    for host in sorted({h for e in links for h in e}):
+        html = "".join(f'<img src="//{b}/i">' if b == "bad.net" else f"<a href='http://{b}/x'>" for a, b in links if a == host)
+        rows.append((len(rows), urls.get(host, f"http://{host}/p"), f"{html} <form action=/local>" + "text " * 30_000 * (host == "x.io")))
+    pages = spark.createDataFrame([*rows, rows[0]], "page_id long, url string, html string")
+    got = {r["filter"].host: (r["filter"].trust, r["filter"].distrust) for r in link_trust.judge(pages).collect()}
+    trust = ranks(links, {"good.org": 1.0})
+    back = {}
+    for (a, b), n in links.items():
+        back[b, a] = back.get((b, a), 0) + n * (2 if a == "bad.net" else 1)
+    distrust = ranks(back, {"bad.net": 1.0})
+    for host, (good, bad) in got.items():
+        assert abs(good - trust.get(host, 0.0)) < 1e-4 and abs(bad - distrust.get(host, 0.0)) < 1e-4
+    assert all(got[a][1] < got[b][1] for a, b in zip(chain, chain[1:]))
+    assert got["c0.io"][1] > 0
+
+
+def linked(text, reach=200):
+    """Weak spans in scopes by plain code: all parts against all scopes."""
+    def spans(kind, pattern):
+        return [(m.start(), m.end(), kind) for m in re.finditer(pattern, text)]
+
+    strong = [(a, b, k) for a, b, k in (
+        [(m.start(), m.end(), 0) for m in re.finditer(credentials.ASSIGN, text) if len(m.group(2)) >= 6]
+        + spans(1, credentials.ACCESS) + spans(2, credentials.HEX)
+    )]
+    if not re.search(credentials.ACCESS, text) and not re.search(credentials.IDENT, text):
+        return set()
+    weak = spans(3, credentials.IDENT) + spans(4, credentials.KEY) + spans(5, credentials.ENDPOINT)
+    weak = [w for w in weak if not any(a <= w[0] and w[1] <= b for a, b, _ in strong)]
+    scopes = []
+    for a, b, _ in sorted((max(0, a - reach), b + reach, k) for a, b, k in strong + weak if k in (1, 3)):
+        if scopes and a <= scopes[-1][1]:
+            scopes[-1][1] = max(scopes[-1][1], b)
+        else:
+            scopes.append([a, b])
+    out = set()
+    for low, high in scopes:
+        inside = [s for s in strong + weak if s[0] <= high and s[1] >= low]
+        if any(k in (0, 2, 4) for _, _, k in inside):
+            out |= {w for w in weak if w in inside}
+    return out
+
+
+def test_linked_spans_against_plain_code(spark):
+    r = random.Random(9)
+    parts = ["user=alice", "AKIAABCDEFGH12", "Qm9" * 14, "Zz9/" * 120, "https://h.example/x", "token=abcdef12", "words", "Account: bob_1"]
+    texts = ["".join(r.choice(parts) + " " * r.choice([1, 5, 90, 210]) for _ in range(r.randrange(1, 9))) for _ in range(150)]
+    texts += ["Qm9/" * 100 + " user=alice", "user=alice" + " " * 195 + "Qm9/" * 30, "user=bob1 " + "x" * 300 + " " + "Qm9/" * 30]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in credentials.scan(frame).collect():
+        got = {(s.start, s.end, s.kind) for s in row.secrets.spans if s.kind > 2}
+        assert got == linked(texts[row.doc.doc_id]), texts[row.doc.doc_id]
+    assert any(linked(t) for t in texts[-3:])
