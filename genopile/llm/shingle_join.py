@@ -306,12 +306,39 @@ def _links(pairs: DataFrame, vectors: DataFrame, tokens: Tokens, options: Joinin
     )
 
 
+def _verified_together(options: Joining):
+    """The linked pairs of a group; each of its sets comes once, however many pairs it is in."""
+
+    def run(pairs: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        sets = {n: np.frombuffer(t, np.uint64) for n, t in zip(rows["node"], rows["tokens"])}
+        good = []
+        for a, b in zip(pairs["a"], pairs["b"]):
+            x, y = sets[a], sets[b]
+            good.append(options.rule.links(len(x), len(y), len(np.intersect1d(x, y, assume_unique=True))))
+        return pairs.loc[good, ["a", "b"]]
+
+    return run
+
+
+def _group_links(pairs: DataFrame, tokens: Tokens, options: Joining, name: str) -> DataFrame:
+    """The pairs (``a``, ``b``) of trees that are linked, stored.
+
+    A tree has compared count vectors already.  ``task`` names the tree of a pair, which holds a
+    bounded number of sets, so token sets are moved once a tree and not once a pair.
+    """
+    pairs = pairs.select("task", "a", "b")
+    sets = materialize(pairs.select("task", F.explode(F.array("a", "b")).alias("node")).distinct(), "tree-sets")
+    made = tokens.of(sets.select("node").distinct()).select("node", "tokens")
+    met = pairs.groupBy("task").cogroup(sets.join(made, "node").groupBy("task"))
+    return materialize(met.applyInPandas(_verified_together(options), "a long, b long"), name)
+
+
 def _search_trees(options: Joining, best: bool):
-    schema = {"a": "int64", "b": "int64", "more": "bool"}
+    schema = {"a": "int64", "b": "int64", "more": "bool", "tree": "int64"}
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for _, part in rows.groupby(["head", "block", "part"], sort=False):
+        for key, part in rows.groupby(["head", "block", "part"], sort=False):
             held, asks = part[~part["asks"]], part[part["asks"]]
             if not len(held) or not len(asks):
                 continue
@@ -334,8 +361,9 @@ def _search_trees(options: Joining, best: bool):
                 # Two asking sets find each other twice; the smaller one reports it.
                 keep = ~minor[at] | (node[at] > names[ask])
                 more = np.zeros(len(ask), bool)
-            out.append(np.stack([names[ask[keep]], node[at[keep]], more[keep]], 1))
-        found = np.concatenate(out) if out else np.empty((0, 3), np.int64)
+            tree_name = np.full(int(keep.sum()), xxhash.xxh64_intdigest(repr(key)) >> 1)
+            out.append(np.stack([names[ask[keep]], node[at[keep]], more[keep], tree_name], 1))
+        found = np.concatenate(out) if out else np.empty((0, 4), np.int64)
         return pd.DataFrame(found, columns=list(schema)).astype(schema)
 
     return run
@@ -445,9 +473,10 @@ def _tree_pairs(
         "task", F.pmod(F.xxhash64("head", "block", "part"), F.lit(tasks))
     )
     found = dealt.groupBy("task").applyInPandas(
-        _search_trees(options, again is None), "a long, b long, more boolean"
+        _search_trees(options, again is None), "a long, b long, more boolean, tree long"
     )
-    return materialize(found.groupBy("a", "b").agg(F.max("more").alias("more")), "tree-pairs")
+    pairs = found.groupBy("a", "b").agg(F.max("more").alias("more"), F.min("tree").alias("task"))
+    return materialize(pairs, "tree-pairs")
 
 
 def join(docs: DataFrame, id: str = "doc_id", text: str = "text", options: Joining = Joining()):
@@ -501,11 +530,11 @@ def join(docs: DataFrame, id: str = "doc_id", text: str = "text", options: Joini
     for _ in range(2):
         found = _tree_pairs(large, comps, vectors, tokens, options, again)
         again = materialize(found.filter("more").select(F.col("a").alias("node")).distinct(), "again")
-        pairs = found.select("a", "b").join(tried, ["a", "b"], "left_anti")
+        pairs = found.select("task", "a", "b").join(tried, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "new-pairs")
-        links = links.unionByName(_links(pairs, vectors, tokens, options, "tree-links"))
+        links = links.unionByName(_group_links(pairs, tokens, options, "tree-links"))
         comps = materialize(components(nodes, links), "tree-components")
-        tried = tried.unionByName(pairs)
+        tried = tried.unionByName(pairs.select("a", "b"))
 
     marked = prints.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     names = marked.filter("comp is not null").groupBy("comp").agg(F.min("id").alias("name"))
