@@ -380,10 +380,17 @@ CTES = {
         select read, strand, chrom, k.pos - o as start, count(*) as votes
         from seeds s join refk k using (kmer)
         where k.pos - o >= 1 and k.pos - o + s.len - 1 <= k.len group by all""",
+    "svotes": """
+        select read, strand, chrom, pos as start, 1 as votes
+        from (select distinct seq as read, '+' as strand, seq as kmer from mates where length(seq) between 1 and 19
+              union all select distinct seq, '-', translate(reverse(seq), 'ACGT', 'TGCA') from mates where length(seq) between 1 and 19) s
+        join (select chrom, i as pos, substr(seq, i::int, n::int) as kmer
+              from (select chrom, seq, n, unnest(range(1, greatest(length(seq) - n + 2, 1))) as i
+                    from contigs, (select distinct length(seq) as n from mates where length(seq) between 1 and 19))) k using (kmer)""",
     "bestp": """
         select read, strand, chrom, start, floor((votes - coalesce(next_votes, 0)) * 42 / votes)::int as mapq
         from (select v.*, row_number() over w as rk, lead(votes) over w as next_votes
-              from votes v join (select chrom, chrom_ord from dict) d using (chrom)
+              from (select * from votes union all select * from svotes) v join (select chrom, chrom_ord from dict) d using (chrom)
               window w as (partition by read order by votes desc, chrom_ord, start, strand))
         join contigs c using (chrom)
         where rk = 1 and 5 * len(list_filter(list_zip(

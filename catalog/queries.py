@@ -390,8 +390,13 @@ def mismatches(spark, d):
 
 @query
 def seed_align(spark, d):
-    aligned = align.seed_align(fx.read_pairs(spark, d), _tiles(spark, d), _contigs(spark, d))
-    return aligned
+    """Without gaps, which SQL can follow; see ``gapped_align``."""
+    return align.seed_align(fx.read_pairs(spark, d), _tiles(spark, d), _contigs(spark, d), scores=None)
+
+
+@query
+def gapped_align(spark, d):
+    return align.seed_align(fx.read_pairs(spark, d), _tiles(spark, d), _contigs(spark, d))
 
 
 # Pileup and allele tables ------------------------------------------------------------

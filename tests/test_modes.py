@@ -96,4 +96,5 @@ def test_fastq_command_writes_pair_tables(spark, tmp_path):
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLES)
+    # Gapped alignment has none; test_gapped compares it with plain code.
+    assert set(QUERIES) == set(ORACLES) | {"gapped_align"}
