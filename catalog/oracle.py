@@ -326,6 +326,26 @@ CTES = {
                     when p.pl_ra = 0 then '0/1' else '1/1' end as gt
         from (select *, unnest(['s0', 's1', 's2']) as sample from jalt) s
         left join jpl p using (chrom, pos, ref, alt, sample)""",
+    "mallele": """
+        select chrom, pos, ref, list_prepend(ref, list(alt order by alt)) as alleles from jalt group by chrom, pos, ref""",
+    "mpair": """
+        select chrom, pos, ref, alleles, sample, depth, i, j,
+               floor((sum(case when i = j and base = alleles[i + 1] then ok
+                               when base = alleles[i + 1] or base = alleles[j + 1] then n * 3010 else er end) + 500) / 1000)::bigint as c
+        from (select *, unnest(range(0, j + 1)) as i
+              from (select *, unnest(range(0, len(alleles))) as j
+                    from allc join mallele using (chrom, pos, ref) where list_contains(alleles, base)))
+        group by all""",
+    "mcall": """
+        select chrom, pos, ref, alleles, sample, depth, string_agg((c - m)::varchar, ',' order by j, i) as pl,
+               case when max(c - m) = 0 then './.' else arg_min(concat(i, '/', j), (c, (i > 0)::int + (j > 0)::int, j, i)) end as gt
+        from (select *, min(c) over (partition by chrom, pos, sample) as m from mpair) group by chrom, pos, ref, alleles, sample, depth""",
+    "mall": """
+        select s.chrom, s.pos, s.ref, array_to_string(alleles[2:], ',') as alt, s.sample, coalesce(gt, './.') as gt,
+               coalesce(pl, array_to_string(list_transform(range(0, len(alleles) * (len(alleles) + 1) // 2), lambda x: '0'), ',')) as pl,
+               coalesce(depth, 0) as cov
+        from (select *, unnest(['s0', 's1', 's2']) as sample from mallele) s
+        left join (select chrom, pos, sample, depth, pl, gt from mcall) using (chrom, pos, sample)""",
     "vcf": """
         select chrom as "CHROM", pos as "POS", '.' as "ID", ref as "REF", alt as "ALT", '.' as "QUAL", '.' as "FILTER",
                'DP=' || sum(cov) as "INFO", 'GT:PL:DP' as "FORMAT",
@@ -615,10 +635,11 @@ RESULTS = {
     "genotype_likelihood": "select chrom, pos::bigint as pos, ref, alt, sample, pl_rr, pl_ra, pl_aa from gts",
     "genotypes": "select chrom, pos::bigint as pos, ref, alt, sample, gt, depth as cov from gts where gt in ('0/1', '1/1')",
     "union_positions": "select distinct chrom, pos::bigint as pos from gts where gt = '1/1'",
+    "site_genotypes": "select chrom, pos::bigint as pos, ref, alt, sample, gt, pl, cov from mall",
     "joint_genotypes": """
         select chrom, pos::bigint as pos, ref, alt, sample, gt, pl_rr, pl_ra, pl_aa, cov from jall where hom""",
     "union_samples": "select sample, header from pairs",
-    "merged_order": "select distinct chrom, pos, type, ref from tbaserow where chrom in (select chrom from contigs)",
+    "merged_order": "select distinct chrom, pos, type, ref from tbaserow",
     "exact_dedupe": """
         select distinct chrom as "CHR", pos::bigint as "COORDINATE", 'SNP' as "TYPE", ref as "REFBASE", s0_b as "s0_BASECALL", s0_c as "s0_COV", s0_p as "s0_PURITY",
                s1_b as "s1_BASECALL", s1_c as "s1_COV", s1_p as "s1_PURITY", s2_b as "s2_BASECALL", s2_c as "s2_COV", s2_p as "s2_PURITY"

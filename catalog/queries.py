@@ -622,6 +622,13 @@ def union_positions(spark, d):
     return genotype.union_positions(genotype.genotypes(_sites(spark, d, quality=True))).select("chrom", "pos")
 
 
+@query
+def site_genotypes(spark, d):
+    """One row a site and sample, against all alleles of the site."""
+    sites = modes.joint_sites_call(fx.aln(spark, d), _tiles(spark, d), SAMPLES, hets=True)
+    return genotype.site_rows(sites)
+
+
 @query
 def joint_genotypes(spark, d):
     sites = modes.joint_call(fx.aln(spark, d), _tiles(spark, d), SAMPLES)

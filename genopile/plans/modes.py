@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,14 @@ from genopile.config import Cutoffs, PileupOptions
 from genopile.functions.alleles import with_alleles
 from genopile.operators import align, genome
 from genopile.operators.calls import called_sites, matrix
-from genopile.operators.genotype import called_alternates, genotypes, joint_sites, vcf_rows
+from genopile.operators.genotype import (
+    called_alternates,
+    genotypes,
+    joint_sites,
+    site_genotypes,
+    site_vcf_rows,
+    with_quality,
+)
 from genopile.operators.indels import attach_indels, indel_summary, pileup_indels
 from genopile.operators.pileup import pileup_counts, with_ref
 from genopile.operators.positions import snarp
@@ -80,6 +88,22 @@ def joint_call(
     return joint_sites(stored, called_alternates(genotypes(stored), hets), samples)
 
 
+def joint_sites_call(
+    reads: DataFrame,
+    tiles: DataFrame,
+    samples: list[str],
+    options: PileupOptions = PileupOptions(),
+    hets: bool = False,
+) -> DataFrame:
+    """All samples against all alleles that some sample is called with, one row a site.
+
+    The likelihood counters are used twice, so they are stored once.
+    """
+    counts = with_ref(pileup_counts(reads, options, quality=True), tiles)
+    stored = materialize(counts, "counters")
+    return site_genotypes(stored, called_alternates(genotypes(stored), hets), samples)
+
+
 @dataclass(frozen=True)
 class Run:
     """Settings of one run from read pairs, or from alignments, to a result table.
@@ -119,6 +143,8 @@ def run(spark: SparkSession, job: Run) -> DataFrame | None:
     Alignments are written once, sorted; the passes of the pileup then read only the columns
     they use.
     """
+    if job.vcf and job.indels and job.positions is None:
+        warnings.warn("VCF rows hold no indels; call without vcf for indel rows", stacklevel=2)
     tiles = materialize(fasta_tiles(spark, job.reference), "tiles")
     contigs = materialize(genome.contig_dictionary(genome.contig_lengths(tiles)), "contigs")
     aligned = _alignments(spark, job, tiles, contigs)
@@ -166,7 +192,7 @@ def _result(reads: DataFrame, tiles: DataFrame, samples: list[str], job: Run) ->
     if job.positions is not None:
         sites = genotype_positions(reads, tiles, job.positions, samples, job.options)
     elif job.vcf:
-        sites = joint_call(reads, tiles, samples, job.options, job.hets)
+        sites = with_quality(joint_sites_call(reads, tiles, samples, job.options, job.hets))
     else:
         sites = call_variants(reads, tiles, samples, job.cutoffs, job.options, job.hets, job.indels)
     if job.region:
@@ -174,5 +200,5 @@ def _result(reads: DataFrame, tiles: DataFrame, samples: list[str], job: Run) ->
     contigs = genome.contig_dictionary(genome.contig_lengths(tiles)).select("chrom", "chrom_ord")
     ordered = sites.join(contigs, "chrom", "left").orderBy(F.col("chrom_ord").asc_nulls_last(), "chrom", "pos")
     if job.vcf and job.positions is None:
-        return vcf_rows(ordered, samples)
+        return site_vcf_rows(ordered, samples)
     return matrix(ordered, samples)

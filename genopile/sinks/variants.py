@@ -21,6 +21,7 @@ def write_vcf(rows: DataFrame, path: str) -> None:
     head = [
         "##fileformat=VCFv4.2",
         '##INFO=<ID=DP,Number=1,Type=Integer,Description="Depth over all samples">',
+        '##INFO=<ID=AF,Number=A,Type=Float,Description="Frequency of each alternate over all samples">',
         '##FORMAT=<ID=GT,Number=1,Type=String,Description="Genotype">',
         '##FORMAT=<ID=PL,Number=G,Type=Integer,Description="Phred-scaled genotype likelihoods">',
         '##FORMAT=<ID=DP,Number=1,Type=Integer,Description="Depth">',
