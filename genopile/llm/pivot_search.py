@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from genopile.llm.common import table
+from genopile.llm.common import of_lowest, table
 from genopile.storage import materialize
 
 
@@ -47,7 +47,8 @@ def integer_vector(vector: Column) -> Column:
 
 def choose_pivots(vectors: DataFrame, options: Pivots) -> np.ndarray:
     """Far-apart vectors of a bounded sample: each next one is farthest from those chosen."""
-    rows = vectors.orderBy(F.xxhash64("id"), "id").limit(options.sample).collect()
+    few = of_lowest(vectors, F.xxhash64("id"), options.sample)
+    rows = few.orderBy(F.xxhash64("id"), "id").limit(options.sample).collect()
     if not rows:
         return np.empty((0, 0))
     width = max(len(r["v"]) for r in rows)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genopile.llm.common import table
+from genopile.llm.common import of_lowest, table
 from genopile.storage import materialize
 
 LONG_RUN = re.compile(rb"([^\x20\x09-\x0D0-9])\1\1")
@@ -231,7 +231,7 @@ def classify(
 
     def sample(frame: DataFrame, n: int) -> np.ndarray:
         order = F.xxhash64("id", F.lit(options.seed)), F.xxhash64("x")
-        found = frame.orderBy(*order).limit(n).select("x").collect()
+        found = of_lowest(frame, order[0], n).orderBy(*order).limit(n).select("x").collect()
         return np.array([r["x"] for r in found], dtype=np.float64).reshape(-1, len(NAMES))
 
     p = sample(learned.join(good, "id", "left_semi"), options.positives)

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from cases import SMALL, messy, messy_rows, none
 from genopile.llm import pivot_search, pu_quality
+from genopile.llm.common import of_lowest
 from genopile.llm.pivot_search import Pivots
 
 
@@ -92,3 +93,14 @@ def test_held_out_labels_do_not_matter(spark):
         sorted((r.doc_id, r.score) for r in pu_quality.classify(docs, x).collect()) for x in (labels, flipped)
     )
     assert one == two
+
+
+def test_samples_leave_the_lowest_hashes(spark):
+    rows = spark.range(40_000).withColumn("h", F.xxhash64("id"))
+    for n in (1, 50, 3000, 50_000):
+        few = of_lowest(rows, F.col("h"), n)
+        want = [r.id for r in rows.orderBy("h").limit(n).collect()]
+        assert [r.id for r in few.orderBy("h").limit(n).collect()] == want
+        assert few.count() <= max(1.3 * n + 1200, n) or n > 30_000
+    same = rows.withColumn("h", F.lit(2**62))
+    assert of_lowest(same, F.col("h"), 10).count() == 40_000
