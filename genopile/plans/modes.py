@@ -197,6 +197,8 @@ def _result(reads: DataFrame, tiles: DataFrame, samples: list[str], job: Run) ->
         sites = call_variants(reads, tiles, samples, job.cutoffs, job.options, job.hets, job.indels)
     if job.region:
         sites = region_sites(sites, *job.region)
+    # The result is written and returned; only its sorting is done twice.
+    sites = materialize(sites, "sites")
     contigs = genome.contig_dictionary(genome.contig_lengths(tiles)).select("chrom", "chrom_ord")
     ordered = sites.join(contigs, "chrom", "left").orderBy(F.col("chrom_ord").asc_nulls_last(), "chrom", "pos")
     if job.vcf and job.positions is None:
