@@ -492,6 +492,19 @@ RESULTS = {
         where rname = 'chr7' and pos <= 500
           and pos - 1 + (select sum(x::int)::int from (select unnest(regexp_extract_all(cigar, '([0-9]+)[MDN=X]', 1)) as x)) >= 100""",
     "at_positions": "select chrom, pos, ref, sample, cov from tsite where (chrom, pos) in (select (chrom, pos) from listed)",
+    "fragment_pileup": """
+        select chrom, pos, sample, count(*) as depth,
+               count(*) filter (base = 'A') as n_a, count(*) filter (base = 'C') as n_c,
+               count(*) filter (base = 'G') as n_g, count(*) filter (base = 'T') as n_t,
+               count(*) filter (base = 'N') as n_n, count(*) filter (base = '*') as n_del
+        from (select sample, header, chrom, pos, arg_max(base, (bq, mate <= 1)) as base
+              from (select sample, header, mate, chrom, start + i - 1 as pos, upper(substr(s, i::int, 1)) as base, ascii(substr(q, i::int, 1)) - 33 as bq
+                    from (select sample, header, mate, chrom, start, unnest(range(1, size + 1)) as i,
+                                 case when strand = '-' then translate(reverse(seq), 'ACGT', 'TGCA') else seq end as s,
+                                 case when strand = '-' then reverse(qual) else qual end as q
+                          from matep where chrom is not null))
+              where bq >= 13 group by all)
+        group by all""",
     "pileup_opts": """
         with picked as (select * from mapped where mapq >= 15 and (flag & 20) = 0),
         steps as (

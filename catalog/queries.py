@@ -314,6 +314,14 @@ def pileup_opts(spark, d):
     return pileup_counts(fx.aln(spark, d), options).select("chrom", "pos", "sample", "depth", *COUNTS)
 
 
+@query
+def fragment_pileup(spark, d):
+    """Pileup of aligned pairs, each fragment counted once."""
+    aligned = materialize(align.seed_align(fx.read_pairs(spark, d), _tiles(spark, d), _contigs(spark, d), scores=None), "pairs")
+    options = PileupOptions(min_mapq=0, one_per_fragment=True, count_orphans=True)
+    return pileup_counts(aligned, options).select("chrom", "pos", "sample", "depth", *COUNTS)
+
+
 # Genome axis and tiling --------------------------------------------------------------
 
 

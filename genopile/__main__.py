@@ -27,7 +27,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--alignment-format", default="sam", choices=["sam", "parquet"])
     p.add_argument("--manifest", help="samples and SAM files instead of reads")
     p.add_argument("--fastq", action="append", metavar="SAMPLE=FILE1[,FILE2]", help="only write read pair tables")
-    p.add_argument("--read-format", default="avro", choices=["avro", "parquet", "json"])
+    p.add_argument("--read-format", default="avro", choices=["avro", "parquet", "json"], help="avro needs the spark-avro package and is not covered by the tests")
     p.add_argument("--reference", help="FASTA file")
     p.add_argument("--output", required=True)
     p.add_argument("--name", default="variants")

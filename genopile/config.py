@@ -32,10 +32,11 @@ class PileupOptions:
     """Which reads and bases enter the pileup.
 
     ``skip_flags`` is a SAM flag mask (unmapped, secondary, failed and duplicate reads by
-    default).
+    default).  With ``one_per_fragment`` the reads of a pair count once where they overlap.
     """
 
     min_mapq: int = 30
     min_base_qual: int = 13
     skip_flags: int = 0x4 | 0x100 | 0x200 | 0x400
     count_orphans: bool = False
+    one_per_fragment: bool = False

@@ -148,7 +148,11 @@ def pileup_counts(
     shuffled and only listed positions are returned.
     """
     keep = ["sample", *by]
-    pieces = _pieces(read_blocks(usable(reads, options), keep), keep, tile)
+    counted = usable(reads, options)
+    if options.one_per_fragment:
+        counted = counted.withColumn("mate", F.col("flag").bitwiseAND(0xC0))
+    named = [*keep, "qname", "mate"] if options.one_per_fragment else keep
+    pieces = _pieces(read_blocks(counted, [c for c in named if c != "qname"]), named, tile)
     if positions is not None:
         wanted = positions.select("chrom", tile_of(F.col("pos"), tile).alias("tile"))
         pieces = pieces.join(wanted, ["chrom", "tile"], "left_semi")
@@ -158,9 +162,14 @@ def pileup_counts(
     names = _counters(quality)
     sums = [F.sum(v).alias(c) for c, v in values.items()]
 
+    doubled = None
+    if options.one_per_fragment:
+        pieces, doubled = _fragments(pieces, keep, good)
     hot = F.broadcast(hot_keys(pieces, ["chrom", "tile"], F.col("size"), shares, light))
     cold = pieces.join(hot, ["chrom", "tile"], "left_anti")
     early = _bases(pieces.join(hot, ["chrom", "tile"], "left_semi"), keep).filter(good)
+    if doubled is not None:
+        early = early.unionByName(doubled)
     counted = _meet(cold, early.groupBy(*keys).agg(*sums), keep, keys, values, names, good)
     if positions is None:
         return counted
@@ -168,6 +177,33 @@ def pileup_counts(
     return counted.join(listed, ["chrom", "tile", "pos"], "left_semi")
 
 
+def _fragments(pieces: DataFrame, keep: list[str], good: Column) -> tuple[DataFrame, DataFrame]:
+    """Pieces of reads that no mate overlaps, and the bases of the others, one a fragment.
+
+    The two reads of a pair meet by name inside a tile.  Where their stretches there overlap, each
+    position keeps the base of the higher quality, on a tie that of the first read.  A fragment is
+    known by its sample, further keys and name; other reads of the same name belong to it.
+    """
+    fragment = ["chrom", "tile", *keep, "qname"]
+    end = F.col("start") + F.col("size") - 1
+
+    def own(mate: int, value: Column) -> Column:
+        return F.when(F.col("mate") == mate, value)
+
+    spans = pieces.groupBy(*fragment).agg(
+        F.min(own(0x40, F.col("start"))).alias("a_lo"),
+        F.max(own(0x40, end)).alias("a_hi"),
+        F.min(own(0x80, F.col("start"))).alias("b_lo"),
+        F.max(own(0x80, end)).alias("b_hi"),
+    )
+    met = spans.filter((F.col("a_lo") <= F.col("b_hi")) & (F.col("b_lo") <= F.col("a_hi"))).select(*fragment)
+    alone = pieces.join(met, fragment, "left_anti").drop("qname", "mate")
+    bases = _bases(pieces.join(met, fragment, "left_semi"), [*keep, "qname", "mate"]).filter(good)
+    choice = F.struct(_quality().alias("q"), (F.col("mate") == 0x40).alias("first"), "base", "qual")
+    best = bases.groupBy(*fragment, "pos").agg(F.max(choice).alias("best"))
+    return alone, best.select(*keep, "chrom", "tile", "pos", "best.base", "best.qual")
+
+
 def _meet(cold, early, keep, keys, values, names, good):
     """Shuffle cold pieces and ready counts together, then sum per position."""
     ready = early.select(
