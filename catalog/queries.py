@@ -10,6 +10,7 @@ from genopile.config import Cutoffs, PileupOptions
 from genopile.functions import alleles as A
 from genopile.operators import align, calls, genome, genotype, indels, merge, positions, reads, tiling
 from genopile.operators.pileup import pileup_counts, with_ref
+from genopile.operators.prefix import exclusive_prefix
 from genopile.operators.text_pileup import parse_pileup, text_calls
 from genopile.plans import modes
 from genopile.sinks import alignments as aln_sink
@@ -345,6 +346,19 @@ def equal_bounds(spark, d):
     return _bounds(spark, d)
 
 
+@query
+def sketch_bounds(spark, d):
+    """Whether the ranks of bounds from sketches are within the stated error."""
+    rows, n, accuracy = _cum(spark, d).select("cum_pos"), 16, 200
+    cuts = materialize(tiling.approximate_bounds(rows, n, accuracy), "sketch-bounds")
+    counted = materialize(rows.groupBy("cum_pos").agg(F.count(F.lit(1)).alias("k")), "positions")
+    total = counted.agg(F.sum("k")).first()[0]
+    ranked = exclusive_prefix(counted, "cum_pos", [], {"k": "before"})
+    target, slack = F.col("cut") * total / n, total / accuracy + 1
+    near = (F.col("before") <= target + slack) & (F.col("before") + F.col("k") >= target - slack)
+    return cuts.join(ranked, F.col("bound") == F.col("cum_pos")).select("cut", near.alias("near"))
+
+
 @query
 def segments(spark, d):
     return tiling.segments(_bounds(spark, d))

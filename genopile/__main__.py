@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from genopile.config import Cutoffs, PileupOptions
 from genopile.operators.align import MAX_INSERT, MAX_MISMATCH
-from genopile.plans.modes import Run, run
+from genopile.plans.modes import Run, run, run_in_segments
 from genopile.session import session
 from genopile.sources import tables
 from genopile.sources.reads import fastq_to_pairs
@@ -35,6 +35,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--save-alignments", action="store_true")
     p.add_argument("--index", action="store_true", help="also write the bin index of the alignments")
     p.add_argument("--align-only", action="store_true")
+    p.add_argument("--segments", type=int, help="call in so many segments; a repeated run goes on where one stopped")
     p.add_argument("--hets", action="store_true")
     p.add_argument("--indels", action="store_true")
     p.add_argument("--vcf", action="store_true")
@@ -105,7 +106,10 @@ def main(argv: list[str] | None = None) -> None:
         max_insert=args.max_insert,
         max_mismatch=args.max_mismatch,
     )
-    run(spark, job)
+    if args.segments:
+        run_in_segments(spark, job, args.segments)
+    else:
+        run(spark, job)
 
 
 if __name__ == "__main__":

@@ -69,6 +69,30 @@ def assign_segment(rows: DataFrame, bounds: DataFrame, n_segments: int) -> DataF
     return with_bounds.withColumn("seg", F.when(F.col("cum_pos").isNotNull(), seg)).drop("_bs")
 
 
+def approximate_bounds(rows: DataFrame, n_segments: int, accuracy: int = 10_000) -> DataFrame:
+    """Like :func:`equal_bounds`, ``(cut, bound)`` from quantile sketches that tasks make and merge.
+
+    The rank of a bound is off by at most ``count / accuracy``; ``cut`` counts from 1.  One pass, and
+    one row per task is shuffled whatever the number of positions.
+    """
+    shares = F.array(*(F.lit(i / n_segments) for i in range(1, n_segments)))
+    listed = rows.agg(F.percentile_approx("cum_pos", shares, accuracy).alias("bounds"))
+    each = listed.select(F.posexplode("bounds").alias("i", "bound"))
+    return each.select((F.col("i") + 1).cast("bigint").alias("cut"), "bound")
+
+
+def spanned_segments(rows: DataFrame, bounds: DataFrame, n_segments: int, end: Column) -> DataFrame:
+    """A copy of each record in every segment that it touches from ``cum_pos`` to ``end``.
+
+    Records without a position on the axis have no segment.
+    """
+    with_bounds = rows.withColumn("_bs", _bound_array(bounds))
+    first = _below(F.col("_bs"), F.col("cum_pos"), n_segments)
+    last = _below(F.col("_bs"), end, n_segments)
+    segs = F.when(F.col("cum_pos").isNotNull(), F.sequence(first, F.greatest(first, last)))
+    return with_bounds.withColumn("seg", F.explode_outer(segs)).drop("_bs")
+
+
 def halo_segments(rows: DataFrame, bounds: DataFrame, n_segments: int, halo: int = HALO) -> DataFrame:
     """Like :func:`assign_segment`, with a copy in each segment whose overlap holds the record."""
     with_bounds = rows.withColumn("_bs", _bound_array(bounds))

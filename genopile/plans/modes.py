@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from genopile.config import Cutoffs, PileupOptions
 from genopile.functions.alleles import with_alleles
-from genopile.operators import align, genome
+from genopile.functions.cigar import ref_span
+from genopile.operators import align, genome, tiling
 from genopile.operators.calls import called_sites, matrix
 from genopile.operators.genotype import (
     called_alternates,
@@ -23,7 +24,7 @@ from genopile.operators.genotype import (
 from genopile.operators.indels import attach_indels, indel_summary, pileup_indels
 from genopile.operators.pileup import pileup_counts, with_ref
 from genopile.operators.positions import snarp
-from genopile.operators.reads import region_reads, region_sites
+from genopile.operators.reads import aligned_only, region_reads, region_sites
 from genopile.sinks.alignments import bin_index, region_start, write_sorted
 from genopile.sinks.variants import write_matrix, write_vcf
 from genopile.sources.alignments import alignments, listed_alignments
@@ -171,6 +172,61 @@ def run(spark: SparkSession, job: Run) -> DataFrame | None:
     return result
 
 
+def run_in_segments(spark: SparkSession, job: Run, n_segments: int) -> DataFrame:
+    """Call segment by segment, so that a run that ended half-way goes on where it stopped.
+
+    Under ``output`` the alignments are stored once by segment of equal read counts, each read in
+    every segment it touches; then every segment's sites go to a folder of their own, complete
+    when its writer has left its marker there.  A later run with the same ``output`` and name
+    takes what is complete as it is and computes the rest; settings must be those of the first.
+    Reads on contigs that the reference lacks are called in a segment of their own, the last.
+    """
+    if job.vcf or job.positions is not None or job.region:
+        raise ValueError("segments are called by thresholds over the whole genome")
+    place = f"{job.output}/{job.name}"
+    tiles = materialize(fasta_tiles(spark, job.reference), "tiles")
+    contigs = materialize(genome.contig_dictionary(genome.contig_lengths(tiles)), "contigs")
+    if not _complete(spark, f"{place}.by-segment"):
+        aligned = materialize(_alignments(spark, job, tiles, contigs), "alignments")
+        placed = genome.with_cum_pos(aligned_only(aligned), contigs)
+        bounds = materialize(tiling.equal_bounds(placed, n_segments), "bounds")
+        bounds.write.mode("overwrite").parquet(f"{place}.bounds")
+        names = aligned.select("sample").distinct()
+        names.write.mode("overwrite").parquet(f"{place}.samples")
+        end = F.col("cum_pos") + ref_span(F.col("cigar")) - 1
+        copies = tiling.spanned_segments(placed, bounds, n_segments, end)
+        copies = copies.withColumn("seg", F.coalesce("seg", F.lit(-1).cast("bigint"))).drop("chrom_ord", "offset", "cum_pos")
+        copies.repartition("seg").write.mode("overwrite").partitionBy("seg").parquet(f"{place}.by-segment")
+    bounds = spark.read.parquet(f"{place}.bounds")
+    samples = [r.sample for r in spark.read.parquet(f"{place}.samples").orderBy("sample").collect()]
+    reads = spark.read.parquet(f"{place}.by-segment")
+    segs = [r.seg for r in reads.select("seg").distinct().orderBy("seg").collect()]
+    for seg in segs:
+        folder = f"{place}.sites/{seg}"
+        if not _complete(spark, folder):
+            sites = call_variants(reads.filter(F.col("seg") == seg), tiles, samples, job.cutoffs, job.options, job.hets, job.indels)
+            placed = genome.with_cum_pos(sites, contigs, "chrom")
+            own = tiling.assign_segment(placed, bounds, n_segments).filter(F.coalesce("seg", F.lit(-1)) == seg)
+            own.drop("seg", "chrom_ord", "offset", "cum_pos").write.mode("overwrite").parquet(folder)
+    sites = spark.read.parquet(*(f"{place}.sites/{seg}" for seg in segs)) if segs else None
+    if sites is None:
+        sites = call_variants(reads, tiles, samples, job.cutoffs, job.options, job.hets, job.indels)
+    result = matrix(_ordered(sites, contigs), samples)
+    write_matrix(result, f"{place}.txt")
+    return result
+
+
+def _complete(spark: SparkSession, folder: str) -> bool:
+    """Whether a writer has finished this folder."""
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+
+
+def _ordered(sites: DataFrame, contigs: DataFrame) -> DataFrame:
+    lookup = contigs.select("chrom", "chrom_ord")
+    return sites.join(lookup, "chrom", "left").orderBy(F.col("chrom_ord").asc_nulls_last(), "chrom", "pos")
+
+
 def _alignments(spark: SparkSession, job: Run, tiles: DataFrame, contigs: DataFrame) -> DataFrame:
     """Given alignments as they are, else read pairs placed on the reference."""
     if job.manifest:
@@ -199,8 +255,7 @@ def _result(reads: DataFrame, tiles: DataFrame, samples: list[str], job: Run) ->
         sites = region_sites(sites, *job.region)
     # The result is written and returned; only its sorting is done twice.
     sites = materialize(sites, "sites")
-    contigs = genome.contig_dictionary(genome.contig_lengths(tiles)).select("chrom", "chrom_ord")
-    ordered = sites.join(contigs, "chrom", "left").orderBy(F.col("chrom_ord").asc_nulls_last(), "chrom", "pos")
+    ordered = _ordered(sites, genome.contig_dictionary(genome.contig_lengths(tiles)))
     if job.vcf and job.positions is None:
         return site_vcf_rows(ordered, samples)
     return matrix(ordered, samples)
