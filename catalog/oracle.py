@@ -528,7 +528,7 @@ RESULTS = {
     "cum_pos": "select sample, qname, rname, pos, cum_pos from cum",
     "genome_sort": "select sample, qname, chrom_ord, pos from cum",
     "equal_bounds": "select bound from bounds",
-    "sketch_bounds": "select unnest(range(1, 16)) as cut, true as near",
+    "sketch_bounds": "select unnest(range(1, 16)) as cut, n > 0 as near from (select count(*) as n from cum)",
     "segments": "select seg, lo, hi from segs",
     "assign_segment": """
         select sample, qname, cum_pos, (select count(*) from bounds where bound < cum_pos) as seg from cum""",
