@@ -75,3 +75,28 @@ def test_near_copies_of_five_word_shingles_from_080(spark):
     left = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, frame, SMALL).collect()}
     for i, p in enumerate(pairs):
         assert len(left & {2 * i, 2 * i + 1}) == (1 if similarity(*p) >= 0.8 else 2)
+
+
+def test_rows_alike_leave_one_and_rows_without_words_all(spark):
+    rows = [(1, "same words here"), (1, "same words here"), (None, "same words here"), (2, "other text"), (2, "more of it")]
+    rows += [(3, ""), (3, ""), (3, None), (None, None), (None, None), (4, " \t"), (5, "alone"), (5, "alone")]
+    frame = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, _row int")
+    left = corpus_pipeline.near_duplicates(spark, frame, SMALL)
+    assert left.columns == frame.columns
+    kept = [(r.doc_id, r.text) for r in left.collect()]
+    same = [r for r in kept if r[1] == "same words here"]
+    assert same == [(None, "same words here")]
+    want = [r for r in rows if r[1] != "same words here"]
+    want.remove((5, "alone"))
+    assert sorted(map(repr, kept)) == sorted(map(repr, [*want, *same]))
+
+
+def test_stages_leave_only_their_result(spark, tmp_path):
+    import os
+
+    from genopile.storage import shared_folder
+
+    folder = f"{shared_folder(spark).removeprefix('file:')}/genopile"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    corpus_pipeline.run(spark, SMALL)
+    assert [n.rsplit("-", 1)[0] for n in set(os.listdir(folder)) - before] == ["packing"]
