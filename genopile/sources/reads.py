@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genopile.schemas import READ_PAIR
-from genopile.sources.lines import numbered_lines, sample_name, stored_lines
+from genopile.sources.lines import as_patterns, found_files, plain_path, numbered_lines, sample_name, stored_lines
 
 
 def read_pairs(spark: SparkSession, paths: str | list[str], fmt: str = "avro") -> DataFrame:
@@ -28,17 +28,19 @@ def fastq_to_pairs(
 
     Mates meet by record number; both files of a sample go into one grouping, so there is
     one shuffle.  A record is four lines; a pair whose names differ (after a ``/1``, ``/2``
-    or ``_1``, ``_2`` suffix) fails the job.
+    or ``_1``, ``_2`` suffix) fails the job.  All files are read in one pass; sample and mate follow
+    from the path.
     """
-    read2 = read2 or {}
-    tables = []
-    for mate, files in ((1, read1), (2, read2)):
+    named = []
+    for mate, files in ((1, read1), (2, read2 or {})):
         for sample, path in files.items():
-            lines = stored_lines(spark, [path])
-            tables.append(lines.select(F.lit(sample).alias("sample"), F.lit(mate).alias("mate"), *lines.columns))
-    lines = tables[0]
-    for table in tables[1:]:
-        lines = lines.unionByName(table)
+            found = found_files(spark, path)
+            if not found:
+                raise FileNotFoundError(path)
+            named += [(sample, mate, file) for file in found]
+    names = spark.createDataFrame(named, "sample string, mate int, file string")
+    names = names.select("sample", "mate", plain_path(F.col("file")).alias("path"))
+    lines = stored_lines(spark, as_patterns([file for _, _, file in named])).join(names, "path")
     numbered = numbered_lines(lines, ["sample", "mate"])
     record, role = F.floor(F.col("line") / 4), F.col("line") % 4
 
