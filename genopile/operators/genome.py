@@ -36,19 +36,22 @@ def contig_lengths(tiles: DataFrame) -> DataFrame:
 def contig_dictionary(lengths: DataFrame) -> DataFrame:
     """Add ``chrom_ord`` (from 1) and ``offset`` to ``(chrom, len)``.
 
-    Contigs are ordered by the first number in their name, then by name; names without a
-    number come last.
+    Contigs are ordered by the first number in their name, of up to 38 digits, then by name; names
+    without a number come last.
     """
+    digits = F.regexp_extract("chrom", r"\d+", 0).try_cast("decimal(38,0)")
     number = F.coalesce(F.least(chrom_number(F.col("chrom")), F.lit(_LAST - 1)), F.lit(_LAST - 1))
     keyed = lengths.withColumns(
         {
             "_num": number,
-            "_nameless": chrom_number(F.col("chrom")).isNull().cast("int"),
+            "_nameless": digits.isNull().cast("int"),
+            # Numbers beyond the running sum's range share its last value and are ordered here.
+            "_digits": digits,
             "_one": F.lit(1).cast("bigint"),
         }
     )
     ordered = exclusive_prefix(
-        keyed, "_num", ["_nameless", "chrom"], {"_one": "_before", "len": "offset"}
+        keyed, "_num", ["_nameless", "_digits", "chrom"], {"_one": "_before", "len": "offset"}
     )
     return ordered.select("chrom", (F.col("_before") + 1).alias("chrom_ord"), "len", "offset")
 

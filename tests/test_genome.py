@@ -186,3 +186,10 @@ def test_rows_on_unknown_contigs_stay_and_come_last(spark):
     assert halo == [("r3", None), ("r4", None)]
     calls = reads.select(F.col("rname").alias("chrom"), "pos", F.lit("SNP").alias("type"))
     assert [r.chrom for r in merge.merged_order(calls, contigs).collect()] == ["c1", "c2", "x1", "x9"]
+
+
+def test_contig_numbers_of_any_size_are_ordered(spark):
+    names = ["c2", "c10", f"c{2**48 - 1}", f"c{2**48}", f"c{2**48 + 1}", f"c{2**64}", f"c{10**30}", "cx", "cy"]
+    frame = spark.createDataFrame([(n, 5) for n in reversed(names)], "chrom string, len long")
+    got = genome.contig_dictionary(frame).orderBy("chrom_ord").collect()
+    assert [r.chrom for r in got] == names and [r.offset for r in got] == list(range(0, 45, 5))
