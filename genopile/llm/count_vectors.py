@@ -115,7 +115,7 @@ class Bands:
         return (np.concatenate(out) if out else np.empty(0, np.uint64)), drops
 
 
-COORDINATES = 256
+COORDINATES = 1024
 
 
 def count_vector(tokens: np.ndarray) -> bytes:
@@ -127,7 +127,7 @@ def count_vector(tokens: np.ndarray) -> bytes:
 def points(vectors: list[bytes]) -> np.ndarray:
     """Count vectors as rows of one array."""
     kinds = [np.uint8 if len(v) == COORDINATES else np.uint32 for v in vectors]
-    out = np.empty((len(vectors), COORDINATES), np.int64)
+    out = np.empty((len(vectors), COORDINATES), np.int32)
     for i, (v, kind) in enumerate(zip(vectors, kinds)):
         out[i] = np.frombuffer(v, kind)
     return out
@@ -143,7 +143,7 @@ class RTree:
     """
 
     def __init__(self, at: np.ndarray, sizes: np.ndarray, comps: np.ndarray, leaf: int = 16):
-        self.at, self.sizes = at.astype(np.int32), sizes
+        self.at, self.sizes = at.astype(np.int32, copy=False), sizes
         # Components by small numbers, so that -1 is free.
         self.names, self.comps = np.unique(comps, return_inverse=True)
         self.leaf = leaf
@@ -172,7 +172,7 @@ class RTree:
 
     @staticmethod
     def _overlaps(a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray) -> np.ndarray:
-        step = 8192
+        step = 2048
         parts = [
             np.minimum(a[i[k : k + step]], b[j[k : k + step]]).sum(1) for k in range(0, len(i), step)
         ]
@@ -180,7 +180,7 @@ class RTree:
 
     def search(self, asked: np.ndarray, sizes: np.ndarray, comps: np.ndarray, rule: Jaccard):
         """Query, row and bound of every pair of different components that may be linked."""
-        asked = asked.astype(np.int32)
+        asked = asked.astype(np.int32, copy=False)
         place = np.searchsorted(self.names, comps).clip(max=len(self.names) - 1)
         own = np.where(self.names[place] == comps, place, -2)
         query, node = np.arange(len(asked)), np.zeros(len(asked), np.int64)

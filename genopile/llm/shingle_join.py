@@ -257,7 +257,7 @@ def _bounded(options: Joining):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for large in batches:
-            for batch in _small(large, 4096):
+            for batch in _small(large, 1024):
                 a, b = (points(batch.column(c).to_pylist()) for c in ("a_counts", "b_counts"))
                 total = batch.column("a_n").to_numpy() + batch.column("b_n").to_numpy()
                 good = np.minimum(a, b).sum(1) >= options.rule.overlap(total)
