@@ -78,9 +78,9 @@ class ChunkIds:
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.closes[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
-        self._clear()
+        self.clear()
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
         self.places = _Places()
         self.runs, self.run_ids = _Places(), [[]]
         self.runs[b""] = 0
@@ -211,7 +211,7 @@ def _blocks(texts: list[bytes | None], most: int = 1 << 21) -> Iterator[list[byt
 
 @lru_cache(maxsize=1)
 def _chunk_ids(path: str) -> ChunkIds:
-    """One tokenizer and store a worker process, for all its tasks."""
+    """One tokenizer a worker process, for all its tasks."""
     return ChunkIds(path)
 
 
@@ -244,6 +244,8 @@ def _cut(path: str, options: Packing, with_ids: bool):
                 if with_ids:
                     columns["ids"] = pa.array(kept, pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_pydict(columns)
+        # Workers outlive their tasks; what is stored goes, as other steps need the memory.
+        ids_of.clear()
 
     return run
 
