@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from genopile.storage import materialize
+
 # A key is hot when it holds more than one part in this many of the total weight.  So there
 # are fewer hot keys than this, whatever the data: the list may always be broadcast.
 SHARES = 4096
@@ -13,14 +15,15 @@ SHARES = 4096
 LIGHT = 1 << 22
 
 
-def hot_keys(
-    df: DataFrame, keys: list[str], weight: Column, shares: int = SHARES, light: int = LIGHT
-) -> DataFrame:
-    """Keys above ``1 / shares`` of the summed weight; fewer than ``shares`` rows.
+def stored_loads(df: DataFrame, keys: list[str], weight: Column) -> tuple[DataFrame, int]:
+    """``load``, the summed weight of each key, stored, and the total over all keys.
 
-    Counts are pre-aggregated on the map side, and the total is taken from the counts.
+    The rows are read once; loads are pre-aggregated on the map side.
     """
-    loads = df.groupBy(*keys).agg(F.sum(weight).alias("load"))
-    total = loads.agg(F.sum("load")).scalar()
-    heavy = (F.col("load") * shares > total) & (F.col("load") > light)
-    return loads.filter(heavy).select(*keys)
+    loads = materialize(df.groupBy(*keys).agg(F.sum(weight).alias("load")), "loads")
+    return loads, loads.agg(F.coalesce(F.sum("load"), F.lit(0).cast("bigint"))).first()[0]
+
+
+def above_share(loads: DataFrame, total: int, shares: int = SHARES, light: int = LIGHT) -> DataFrame:
+    """Keys above ``1 / shares`` of the summed weight, with their ``load``; fewer than ``shares`` rows."""
+    return loads.filter((F.col("load") * shares > total) & (F.col("load") > light))
