@@ -3,6 +3,7 @@
 import contextlib
 import io
 
+from genopile import fixtures as fx
 from genopile.operators.pileup import pileup_counts
 
 READ = "sample string, qname string, flag int, rname string, pos int, mapq int, cigar string, seq string, qual string"
@@ -34,3 +35,16 @@ def test_hot_tiles_give_the_same_counts(spark):
 def test_text_shorter_than_the_cigar(spark):
     rows = pileup_counts(_reads(spark, [(1, "3M", "A", "III"), (1, "1M", "C", "I")])).orderBy("pos").collect()
     assert [(r.pos, r.depth, r.n_a, r.n_c) for r in rows] == [(1, 2, 1, 1), (2, 1, None, None), (3, 1, None, None)]
+
+def test_items_meet_contigs_without_a_table_of_windows(spark, tmp_path):
+    docs = [(i, "ab cd " * 60, "en", "x", 360) for i in range(4)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    items = [(o, o % 5, o % 3, 1, 7.0) for o in range(40)]
+    columns = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double"
+    spark.createDataFrame(items, columns).write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = fx.read_pairs(spark, str(tmp_path))
+    assert "explode" not in _plan(found)
+    seq = fx.contigs(spark, str(tmp_path)).first().seq
+    rows = found.collect()
+    assert len(rows) == 40
+    assert all(r.seq1 in seq for r in rows if r.sample == "s0" and r.seq1 != "ACGTA" * 10)
