@@ -3,8 +3,10 @@
 import contextlib
 import io
 
+from pyspark.sql import functions as F
+
 from genopile import fixtures as fx
-from genopile.operators.pileup import pileup_counts
+from genopile.operators.pileup import pileup_counts, with_ref
 
 READ = "sample string, qname string, flag int, rname string, pos int, mapq int, cigar string, seq string, qual string"
 
@@ -48,3 +50,22 @@ def test_items_meet_contigs_without_a_table_of_windows(spark, tmp_path):
     rows = found.collect()
     assert len(rows) == 40
     assert all(r.seq1 in seq for r in rows if r.sample == "s0" and r.seq1 != "ACGTA" * 10)
+
+
+def test_only_sites_that_may_be_called_leave_the_count(spark):
+    tiles = spark.createDataFrame([("c", 0, "ACGTACGT"), ("c", 1, "ACgTACGT"), ("d", 0, "AAAAAAAA")], "chrom string, tile bigint, seq string")
+    rows = [(2, "4M", "CGAA", "IIII"), (3, "4M", "GTAC", "IIII"), (9, "2M2D2M", "ACAC", "IIII"), (8, "1M", "T", "I"), (20, "2M", "AC", "II")]
+    reads = _reads(spark, rows).unionByName(_reads(spark, [(4, "1M", "A", "I")]).withColumn("sample", F.lit("t")))
+    reads = reads.unionByName(reads.limit(1).withColumn("rname", F.lit("e")))
+    every = with_ref(pileup_counts(reads, quality=True, tile=8), tiles, 8)
+    besides = spark.createDataFrame([("c", 8), ("c", 8), ("d", 3), (None, 1), ("c", None)], "chrom string, pos int")
+    got = pileup_counts(reads, quality=True, tile=8, tiles=tiles, differing=True, besides=besides)
+    assert got.columns == every.columns
+    want = [tuple(r) for r in every.collect() if r.chrom == "e" or r.pos in (4, 8, 20, 21)]
+    assert sorted(map(tuple, got.collect())) == sorted(want) and len(want) == 9
+    hot = pileup_counts(reads, quality=True, tile=8, tiles=tiles, differing=True, besides=besides, shares=10, light=2)
+    assert sorted(map(tuple, hot.collect())) == sorted(want)
+    listed = pileup_counts(reads, quality=True, tile=8, tiles=tiles, positions=besides)
+    assert sorted(map(tuple, listed.collect())) == sorted(tuple(r) for r in every.collect() if r.chrom == "c" and r.pos == 8)
+    whole = pileup_counts(reads, quality=True, tile=8, tiles=tiles)
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, every.collect()))
