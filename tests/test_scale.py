@@ -5,6 +5,7 @@ import io
 
 from pyspark.sql import functions as F
 
+from catalog.queries import QUERIES
 from genopile import fixtures as fx
 from genopile.operators.pileup import pileup_counts, with_ref
 
@@ -69,3 +70,15 @@ def test_only_sites_that_may_be_called_leave_the_count(spark):
     assert sorted(map(tuple, listed.collect())) == sorted(tuple(r) for r in every.collect() if r.chrom == "c" and r.pos == 8)
     whole = pileup_counts(reads, quality=True, tile=8, tiles=tiles)
     assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, every.collect()))
+
+
+def test_bounds_derive_the_alignments_once(spark, tmp_path):
+    docs = [(i, "ab cd " * 60, "en", "x", 360) for i in range(4)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    items = [(o, o % 5, o % 3, 1, 7.0) for o in range(40)]
+    columns = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double"
+    spark.createDataFrame(items, columns).write.parquet(f"{tmp_path}/lineitem.parquet")
+    bounds = QUERIES["equal_bounds"](spark, str(tmp_path))
+    # Letters of the documents are mapped in Python; the bounds read what is stored of it.
+    assert "ArrowEvalPython" not in _plan(bounds)
+    assert bounds.count() >= 1
