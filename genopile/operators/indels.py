@@ -10,6 +10,7 @@ from genopile.functions.pileup_text import indel_marks
 from genopile.operators.genome import tile_of
 from genopile.operators.pileup import read_blocks
 from genopile.operators.reads import usable
+from genopile.storage import materialize
 
 
 def pileup_indels(
@@ -23,8 +24,8 @@ def pileup_indels(
     """``(chrom, tile, pos, sample, indel, n)`` from CIGARs; with ``positions`` only at those.
 
     An event belongs to the base before it; one at the start of a read has no such base and
-    is left out.  Events are counted first, deletions by length; only then is the deleted
-    sequence looked up, once per distinct event.
+    is left out.  Events are counted first, deletions by length, and stored, so the reads are
+    gone through once; only then is the deleted sequence looked up, once per distinct event.
     """
     keep = ["sample", *by]
     indel_reads = usable(reads, options).filter(F.col("cigar").rlike("[ID]"))
@@ -52,6 +53,7 @@ def pileup_indels(
     if positions is not None:
         listed = positions.select("chrom", "pos").withColumn("tile", tile_of(F.col("pos"), tile))
         events = events.join(listed, ["chrom", "tile", "pos"], "left_semi")
+    events = materialize(events, "indel-events")
     insertions = events.filter(F.col("ins").isNotNull()).select(*keys, F.col("ins").alias("indel"), "n")
     gaps = events.filter(F.col("gap").isNotNull())
     sequences = deleted_sequences(gaps.select("chrom", "pos", "gap").distinct(), tiles, tile)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from catalog.queries import QUERIES
 from genopile import fixtures as fx
+from genopile.operators.indels import pileup_indels
 from genopile.operators.pileup import pileup_counts, with_ref
 
 READ = "sample string, qname string, flag int, rname string, pos int, mapq int, cigar string, seq string, qual string"
@@ -82,3 +83,11 @@ def test_bounds_derive_the_alignments_once(spark, tmp_path):
     # Letters of the documents are mapped in Python; the bounds read what is stored of it.
     assert "ArrowEvalPython" not in _plan(bounds)
     assert bounds.count() >= 1
+
+
+
+def test_indel_events_are_counted_once(spark):
+    tiles = spark.createDataFrame([("c", 0, "ACGTACGTACGT")], "chrom string, tile bigint, seq string")
+    found = pileup_indels(_reads(spark, [(1, "2M1I2M", "ACTGT", "IIIII"), (1, "2M2D2M", "ACAC", "IIII")]), tiles)
+    assert "ArrowEvalPython" not in _plan(found)
+    assert sorted((r.pos, r.indel, r.n) for r in found.collect()) == [(2, "+T", 1), (2, "-GT", 1)]
