@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from catalog.queries import QUERIES
 from genopile import fixtures as fx
+from genopile.operators.align import mismatches
 from genopile.operators.indels import pileup_indels
 from genopile.operators.pileup import pileup_counts, with_ref
 
@@ -91,3 +92,14 @@ def test_indel_events_are_counted_once(spark):
     found = pileup_indels(_reads(spark, [(1, "2M1I2M", "ACTGT", "IIIII"), (1, "2M2D2M", "ACAC", "IIII")]), tiles)
     assert "ArrowEvalPython" not in _plan(found)
     assert sorted((r.pos, r.indel, r.n) for r in found.collect()) == [(2, "+T", 1), (2, "-GT", 1)]
+
+
+
+def test_mismatches_are_counted_without_arrays_of_letters(spark):
+    tiles = spark.createDataFrame([("c", 0, "ACGTacgt"), ("c", 1, "AC"), ("c", 2, "")], "chrom string, tile bigint, seq string")
+    reads = [("a", 1, "ACGT"), ("b", 2, "cgaacg"), ("c", 7, "GTACGG"), ("d", 8, "TA"), ("e", 17, "ACG"), ("f", 1, "ÄCGT"), ("g", 11, "GG"), ("h", 30, "A"), ("i", 1, None)]
+    placed = spark.createDataFrame([("c", *r) for r in reads], "rname string, name string, pos bigint, seq string")
+    got = mismatches(placed, tiles, ["name"], 8)
+    assert "zip_with" not in _plan(got)
+    want = {"a": 0, "b": 1, "c": 0, "d": 0, "e": 1, "f": 1, "g": 1}
+    assert {r.name: r.mismatches for r in got.collect()} == want
