@@ -87,6 +87,24 @@ def test_bounds_derive_the_alignments_once(spark, tmp_path):
 
 
 
+def _derived(spark, folder):
+    docs = [(i, "ab cd " * 60, "en", "x", 360) for i in range(4)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
+    items = [(o, o % 5, o % 3, 1, 7.0) for o in range(40)]
+    columns = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double"
+    spark.createDataFrame(items, columns).write.parquet(f"{folder}/lineitem.parquet")
+    return str(folder)
+
+
+
+def test_genome_sort_derives_the_alignments_once(spark, tmp_path):
+    found = QUERIES["genome_sort"](spark, _derived(spark, tmp_path))
+    assert "ArrowEvalPython" not in _plan(found) and "lineitem" not in _plan(found)
+    rows = found.collect()
+    assert len(rows) == 40 and rows == sorted(rows, key=lambda r: (r.chrom_ord, r.pos, r.sample, r.qname))
+
+
+
 def test_indel_events_are_counted_once(spark):
     tiles = spark.createDataFrame([("c", 0, "ACGTACGTACGT")], "chrom string, tile bigint, seq string")
     found = pileup_indels(_reads(spark, [(1, "2M1I2M", "ACTGT", "IIIII"), (1, "2M2D2M", "ACAC", "IIII")]), tiles)
