@@ -10,6 +10,7 @@ from genopile import fixtures as fx
 from genopile.operators.align import mismatches
 from genopile.operators.indels import pileup_indels
 from genopile.operators.pileup import pileup_counts, with_ref
+from genopile.sinks import alignments as sinks
 
 READ = "sample string, qname string, flag int, rname string, pos int, mapq int, cigar string, seq string, qual string"
 
@@ -86,7 +87,6 @@ def test_bounds_derive_the_alignments_once(spark, tmp_path):
     assert bounds.count() >= 1
 
 
-
 def _derived(spark, folder):
     docs = [(i, "ab cd " * 60, "en", "x", 360) for i in range(4)]
     spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
@@ -96,7 +96,6 @@ def _derived(spark, folder):
     return str(folder)
 
 
-
 def test_genome_sort_derives_the_alignments_once(spark, tmp_path):
     found = QUERIES["genome_sort"](spark, _derived(spark, tmp_path))
     assert "ArrowEvalPython" not in _plan(found) and "lineitem" not in _plan(found)
@@ -104,6 +103,15 @@ def test_genome_sort_derives_the_alignments_once(spark, tmp_path):
     assert len(rows) == 40 and rows == sorted(rows, key=lambda r: (r.chrom_ord, r.pos, r.sample, r.qname))
 
 
+def test_sorted_alignments_are_ranged_from_stored_rows(spark, tmp_path, monkeypatch):
+    plans = []
+    write = sinks._ordered
+    monkeypatch.setattr(sinks, "_ordered", lambda reads, contigs, n: plans.append(_plan(reads) + _plan(contigs)) or write(reads, contigs, n))
+    found = QUERIES["sorted_alignments"](spark, _derived(spark, tmp_path))
+    assert found.count() == 40
+    # Neither documents nor line items are read by the pass that finds the ranges.
+    assert len(plans) == 1 and "ArrowEvalPython" not in plans[0] and "lineitem" not in plans[0]
+
 
 def test_indel_events_are_counted_once(spark):
     tiles = spark.createDataFrame([("c", 0, "ACGTACGTACGT")], "chrom string, tile bigint, seq string")
@@ -112,7 +120,6 @@ def test_indel_events_are_counted_once(spark):
     assert sorted((r.pos, r.indel, r.n) for r in found.collect()) == [(2, "+T", 1), (2, "-GT", 1)]
 
 
-
 def test_mismatches_are_counted_without_arrays_of_letters(spark):
     tiles = spark.createDataFrame([("c", 0, "ACGTacgt"), ("c", 1, "AC"), ("c", 2, "")], "chrom string, tile bigint, seq string")
     reads = [("a", 1, "ACGT"), ("b", 2, "cgaacg"), ("c", 7, "GTACGG"), ("d", 8, "TA"), ("e", 17, "ACG"), ("f", 1, "ÄCGT"), ("g", 11, "GG"), ("h", 30, "A"), ("i", 1, None)]
