@@ -43,8 +43,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         (F.count_if(F.col("n_shingles") > 0) > 1).alias("many"),
     )
     marks = materialize(groups.filter("gone or many"), "near-duplicates")
-    same = named[name].eqNullSafe(marks[name])
-    left = named.join(marks, same, "left_anti").select(*(f"`{c}`" for c in docs.columns))
+    left = shingle_join.without(named, marks, name, NEAR).select(*(f"`{c}`" for c in docs.columns))
     alike = materialize(marks.filter("many and not gone"), "rows-alike")
     if not alike.limit(1).count():
         return left

@@ -42,6 +42,8 @@ class Joining:
     hot: int = 4
     # Most bits of the broadcast filter that keeps other documents' texts out of a shuffle.
     filter_bits: int = 1 << 27
+    # Keys to leave out up to which they are joined as they are, which the planner does in place.
+    few: int = 1 << 13
 
 
 def _sets(batch: pa.RecordBatch, n: int) -> Iterator[np.ndarray]:
@@ -199,6 +201,35 @@ def _passing(shared):
     return run
 
 
+def _maybe(spark: SparkSession, ids: DataFrame, most: int):
+    """A condition on a column of 64-bit hashes: true for those of all ``id`` of ``ids`` and some others."""
+    shared = spark.sparkContext.broadcast(_bits(ids, most))
+
+    @F.arrow_udf("boolean")
+    def maybe(hashes: pa.Array) -> pa.Array:
+        bits = shared.value
+        at = hashes.to_numpy(zero_copy_only=False) % (8 * len(bits))
+        return pa.array((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0)
+
+    return maybe
+
+
+def without(rows: DataFrame, gone: DataFrame, key: str, options: Joining = Joining()) -> DataFrame:
+    """``rows`` whose ``key`` is not among that of ``gone`` (stored); a null key meets a null one.
+
+    Rows are wide.  Those whose hash misses a broadcast bitmap of bounded size stay where they are;
+    the others, which are little more than those that go, are shuffled and compared.
+    """
+    gone = gone.select(key)
+    if gone.count() <= options.few:
+        return rows.join(gone, rows[key].eqNullSafe(gone[key]), "left_anti")
+    maybe = _maybe(rows.sparkSession, gone.select(F.col(key).alias("id")), options.filter_bits)
+    hit = maybe(F.xxhash64(key))
+    some = rows.filter(hit)
+    left = some.join(gone, some[key].eqNullSafe(gone[key]), "left_anti")
+    return rows.filter(~hit).unionByName(left)
+
+
 class Tokens:
     """Token sets of nodes, made from the texts when they are asked for and kept.
 
@@ -510,14 +541,16 @@ def join(docs: DataFrame, id: str = "doc_id", text: str = "text", options: Joini
     release(sketches)
     members = materialize(_telling(members, prints.select("node", "drops")), "telling-members")
     heads = members.groupBy("sig").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("k"))
-    shared = members.join(heads.filter("k > 1"), "sig")
+    shared = materialize(members.join(heads.filter("k > 1"), "sig"), "shared-members")
     large = materialize(shared.filter("k > 2").select("sig", "head", "node"), "large-buckets")
     star = shared.filter(F.col("node") != F.col("head"))
     star = star.select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
     star = materialize(star, "star-pairs")
     nodes = star.select(F.col("a").alias("node")).union(star.select("b")).distinct()
     nodes = materialize(nodes, "nodes")
-    vectors = prints.join(nodes, "node", "left_semi").select("node", "n", "counts")
+    maybe = _maybe(docs.sparkSession, nodes.select(F.col("node").alias("id")), options.filter_bits)
+    some = prints.select("node", "n", "counts").filter("node is not null").filter(maybe(F.xxhash64("node")))
+    vectors = some.join(nodes, "node", "left_semi")
     vectors = materialize(vectors.dropDuplicates(["node"]), "count-vectors")
     tokens = Tokens(body, prints.select("id", "node"), options)
 

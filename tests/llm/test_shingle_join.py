@@ -6,7 +6,7 @@ import pytest
 from cases import SMALL, documents, edited, messy, messy_rows, none, prose
 from genopile.llm import shingle_join
 from genopile.llm.count_vectors import Bands, Jaccard, RTree, U, count_vector, points
-from genopile.llm.shingle_join import Joining
+from genopile.llm.shingle_join import Joining, without
 
 
 def sets_of(texts):
@@ -200,3 +200,22 @@ def test_rare_tokens_part_a_hot_head(spark):
     for i in range(40):
         if brute({0: texts[i], 1: texts[500 + i]})[1][1] == 0:
             assert any({node[i], node[500 + i]} <= h for h in heads.values())
+
+
+def test_rows_left_out_are_told_by_a_bitmap_and_compared(spark):
+    import contextlib
+    import io
+
+    rows = spark.range(400).selectExpr("if(id % 50 = 0, null, id) as k", "repeat('x', 50) as text")
+    gone = spark.createDataFrame([(None,), (7,), (7,), (11,), (900,)], "k long")
+    want = sorted(r.k for r in rows.collect() if r.k not in (None, 7, 11))
+    for options in (Joining(), Joining(few=0), Joining(few=0, filter_bits=0)):
+        got = without(rows, gone, "k", options)
+        assert sorted(r.k for r in got.collect()) == want and got.columns == ["k", "text"]
+    plan = io.StringIO()
+    with contextlib.redirect_stdout(plan):
+        without(rows, gone, "k", Joining(few=0)).explain()
+    # Only rows that the bitmap lets pass meet the join.
+    assert "maybe" in plan.getvalue() and "Union" in plan.getvalue()
+    empty = gone.filter("k > 1000")
+    assert without(rows, empty, "k", Joining(few=0)).count() == 400
