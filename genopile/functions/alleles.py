@@ -24,15 +24,20 @@ def with_alleles(df: DataFrame) -> DataFrame:
     without any counted allele is no coverage.  ``major`` is the top allele; on a tie with
     the reference the other one.  ``purity`` is the share of the top allele.
     """
-    table = F.array(*(F.struct(F.col(c).alias("n"), F.lit(a).alias("allele")) for a, c in COUNTERS.items()))
     counted = sum((F.col(c) for c in COUNTERS.values()), F.lit(0))
+    # Count and letter in one number, sorted as plain numbers; an unknown count sorts below zero.
+    code = F.array(*(-(F.coalesce(F.col(c), F.lit(-1)) * 256 + ord(a)) for a, c in COUNTERS.items()))
+    # Most samples of a site may have no base: their table is a constant.
+    empty = sorted(COUNTERS, reverse=True)
+    coded = with_once(df, {"_counted": counted, "_code": F.when(counted.isNull() | (counted != 0), F.sort_array(code))})
+    bare = F.array(*(F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(a).alias("allele")) for a in empty))
     sorted_ = with_once(
-        df,
+        coded,
         {
-            "alleles": F.sort_array(table, asc=False),
-            "cov": F.when(counted > 0, F.col("cov")).otherwise(F.lit(0).cast("bigint")),
+            "alleles": F.when(F.col("_code").isNull(), bare).otherwise(F.array(*(_entry(i) for i in range(len(empty))))),
+            "cov": F.when(F.col("_counted") > 0, F.col("cov")).otherwise(F.lit(0).cast("bigint")),
         },
-    )
+    ).drop("_counted", "_code")
     tie = (_n(1) > 0) & (_n(0) == _n(1)) & (_allele(0) == _ref())
     top = F.when(tie, _allele(1)).otherwise(_allele(0))
     second = F.when(tie, _allele(0)).otherwise(_allele(1))
@@ -46,6 +51,13 @@ def with_alleles(df: DataFrame) -> DataFrame:
     )
 
 
+def _entry(i: int) -> Column:
+    """An entry of the allele table from its number, see :func:`with_alleles`."""
+    value = -F.get("_code", F.lit(i))
+    n = F.when(value >= 0, F.shiftright(value, 8))
+    return F.struct(n.alias("n"), F.chr(value.bitwiseAND(F.lit(255))).alias("allele"))
+
+
 def _ref() -> Column:
     return F.upper("ref")
 

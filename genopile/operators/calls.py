@@ -189,8 +189,15 @@ def long_rows(sites: DataFrame) -> DataFrame:
     return rows.select("chrom", "pos", "type", "ref", "o.*")
 
 
-def site_samples(calls: DataFrame, samples: list[str]) -> DataFrame:
-    """Every covered site with every sample; absent samples have depth zero."""
+def site_samples(calls: DataFrame, samples: list[str], complete: bool = False) -> DataFrame:
+    """Every covered site with every sample; absent samples have depth zero.
+
+    Where the rows are ``complete``, with each sample at each site, as the pileup gives them on demand,
+    nothing has to be grouped.
+    """
+    if complete:
+        rows = calls.select("chrom", "pos", "ref", "sample", "cov", A.purity().alias("purity"), A.major().alias("major"))
+        return rows.filter(F.col("sample").isin(samples))
     fields = {"cov": F.col("cov"), "purity": A.purity(), "major": A.major()}
     blank = {"cov": _zero(), "purity": F.lit(0.0), "major": F.lit(".")}
     sites = fill_samples(site_table(calls, fields, {}), samples, blank)

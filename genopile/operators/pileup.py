@@ -215,18 +215,47 @@ def _counting(counted):
     return F.arrow_udf(count, T.ArrayType(T.LongType()))
 
 
-def _counting_some(counted, names: list[str], tile: int, differing: bool, marked: bool):
+def _counting_some(counted, names: list[str], tile: int, differing: bool, marked: bool, samples: list[str] | None = None):
     """A column function from a tile to the counters of its wanted positions, a list per group.
 
     It takes the pieces of every group of the tile and the tile's reference.  Wanted are marked
     positions and, with ``differing``, those where some group has a base that is not the reference's;
-    all of them without either.
+    all of them without either.  With ``samples`` it takes the groups' samples, too, and gives a list
+    per sample of these, each with every wanted position.
     """
     width = 1 + len(names)
+    step = max(1, min(_GROUPS, 4 * _GROUPS // max(1, len(samples or ()))))
     column = {ord(x): names.index(n) + 1 for x, n in _LETTERS.items() if x != "*"}
     deleted = names.index(_LETTERS["*"]) + 1
 
-    def some(tiles: pa.Array, seqs: pa.Array) -> pa.Array:
+    def every(spot: np.ndarray, rows: np.ndarray, code: np.ndarray, n_tiles: int) -> pa.Array:
+        """Rows of all samples at each spot, zeros where a sample has none."""
+        spots, place = np.unique(spot, return_inverse=True)
+        n = len(samples)
+        out = np.zeros((len(spots), n, width), np.int64)
+        out[:, :, 0] = (spots % tile)[:, None]
+        out[place[code >= 0], code[code >= 0]] = rows[code >= 0]
+        owner = (spots // tile)[:, None] * n + np.arange(n)
+        out = out.reshape(-1, width)[np.argsort(owner.ravel(), kind="stable")]
+        ends = np.concatenate([[0], np.cumsum(np.bincount(owner.ravel(), minlength=n_tiles * n))]) * width
+        lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(out.ravel()))
+        return pa.ListArray.from_arrays(pa.array(np.arange(n_tiles + 1, dtype=np.int32) * n), lists)
+
+    def references(tiles: pa.Array, seqs: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Reference letters of all tiles, and which tiles have them, once for each time that contigs are there."""
+        n_seqs = pc.fill_null(pc.list_value_length(seqs), 0).to_numpy(zero_copy_only=False)
+        texts = seqs.flatten()
+        first = np.cumsum(n_seqs) - n_seqs
+        for turn in range(max(1, n_seqs.max(initial=0))):
+            ref = np.full(len(tiles) * tile, ord("N"), np.int64)
+            has = np.flatnonzero(n_seqs > turn)
+            flat, lengths = _codes(texts.take(pa.array(first[has] + turn)))
+            inside = _steps(lengths)
+            short = inside < tile
+            ref[(np.repeat(has, lengths) * tile + inside)[short]] = flat[short]
+            yield ref, has
+
+    def some(tiles: pa.Array, seqs: pa.Array, who: pa.Array | None = None) -> pa.Array:
         groups = tiles.flatten()
         of_group = np.repeat(np.arange(len(tiles)), pc.fill_null(pc.list_value_length(tiles), 0).to_numpy(zero_copy_only=False))
         lists = pa.concat_arrays([*_sliced(counted, groups)]) if len(groups) else pa.array([], pa.list_(pa.int64()))
@@ -241,17 +270,8 @@ def _counting_some(counted, names: list[str], tile: int, differing: bool, marked
         wanted[of_piece[mark] * tile + at.fill_null(0).to_numpy(zero_copy_only=False)[mark]] = True
         if differing:
             # A tile whose contig is there more than once, or not at all, is held against each or none.
-            n_seqs = pc.fill_null(pc.list_value_length(seqs), 0).to_numpy(zero_copy_only=False)
-            texts = seqs.flatten()
-            first = np.cumsum(n_seqs) - n_seqs
             others = rows[:, 1] - np.maximum(rows[:, deleted], 0)
-            for turn in range(max(1, n_seqs.max(initial=0))):
-                ref = np.full(len(tiles) * tile, ord("N"), np.int64)
-                has = np.flatnonzero(n_seqs > turn)
-                flat, lengths = _codes(texts.take(pa.array(first[has] + turn)))
-                inside = _steps(lengths)
-                short = inside < tile
-                ref[(np.repeat(has, lengths) * tile + inside)[short]] = flat[short]
+            for ref, _ in references(tiles, seqs):
                 here = ref[spot]
                 here = np.where((here >= 97) & (here <= 122), here - 32, here)
                 same = np.zeros(len(rows), np.int64)
@@ -259,15 +279,27 @@ def _counting_some(counted, names: list[str], tile: int, differing: bool, marked
                     same = np.where(here == letter, np.maximum(rows[:, k], 0), same)
                 wanted[spot[others > same]] = True
         held = wanted[spot]
+        if samples is not None:
+            named = who.flatten()
+            if named.null_count:
+                raise ValueError("a read without a sample")
+            known: list[np.ndarray] = []
+            for ref, has in references(tiles, seqs):
+                both = held & np.isin(spot // tile, has)
+                if any((letters[spot[both]] == ref[spot[both]]).any() for letters in known):
+                    raise ValueError("a sample is there twice at a site: contigs repeat")
+                known.append(ref)
+            code = pc.fill_null(pc.index_in(named, pa.array(samples, pa.string())), -1).to_numpy(zero_copy_only=False)
+            return every(spot[held], rows[held], code[owner[held]], len(tiles))
         ends = np.concatenate([[0], np.cumsum(np.bincount(owner[held], minlength=len(groups)))]) * width
         kept = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(rows[held].ravel()))
         outer = np.concatenate([[0], np.cumsum(np.bincount(of_group, minlength=len(tiles)))])
         return pa.ListArray.from_arrays(pa.array(outer.astype(np.int32)), kept)
 
-    def count(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for tiles, seqs in batches:
-            for i in range(0, len(tiles), _GROUPS):
-                yield some(tiles.slice(i, _GROUPS), seqs.slice(i, _GROUPS))
+    def count(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for columns in batches:
+            for i in range(0, len(columns[0]), step):
+                yield some(*(c.slice(i, step) for c in columns))
 
     return F.arrow_udf(count, T.ArrayType(T.ArrayType(T.LongType())))
 
@@ -296,6 +328,7 @@ def pileup_counts(
     tiles: DataFrame | None = None,
     differing: bool = False,
     besides: DataFrame | None = None,
+    samples: list[str] | None = None,
 ) -> DataFrame:
     """Counters per ``(chrom, tile, pos, sample)`` and any further grouping columns ``by``.
 
@@ -304,9 +337,13 @@ def pileup_counts(
     shuffled and only listed positions are returned.  With ``tiles`` the reference base is added as
     by :func:`with_ref`.  With ``differing`` (it needs ``tiles``) a position is returned, for all its
     samples, only where some read has a base unlike the reference that is not deleted, or where
-    ``besides`` lists it; at any other no base but the reference's can be called.
+    ``besides`` lists it; at any other no base but the reference's can be called.  With ``samples`` (it
+    needs ``tiles`` and no ``by``) a position has a row for each of these and for no other, with counters
+    of zero where the sample has no base; a sample may be there once at a site.
     """
     keep = ["sample", *by]
+    if samples is not None and (by or tiles is None):
+        raise ValueError("rows of all samples need the reference and no further grouping")
     counted = usable(reads, options)
     if options.one_per_fragment:
         counted = counted.withColumn("mate", F.col("flag").bitwiseAND(0xC0))
@@ -353,9 +390,14 @@ def pileup_counts(
         else:
             known = tiles.repartition(parts, "chrom", "tile").groupBy("chrom", "tile").agg(F.collect_list(F.struct("seq")).alias("seqs"))
             whole = whole.join(known.hint("shuffle_hash"), ["chrom", "tile"], "left")
-        some = _counting_some(counter, names, tile, differing, marks is not None)
-        who = F.transform("g", lambda g: F.struct(*(g[k].alias(k) for k in keep)))
-        found = whole.withColumns({"who": who, "c": some(F.col("g.p"), F.col("seqs.seq"))})
+        some = _counting_some(counter, names, tile, differing, marks is not None, samples)
+        given = [F.col("g.p"), F.col("seqs.seq")]
+        if samples is None:
+            who = F.transform("g", lambda g: F.struct(*(g[k].alias(k) for k in keep)))
+        else:
+            given.append(F.col("g.sample"))
+            who = F.array(*(F.struct(F.lit(s).alias("sample")) for s in samples))
+        found = whole.withColumns({"who": who, "c": some(*given)})
         each = found.select("chrom", "tile", F.explode_outer("seqs").alias("s"), F.arrays_zip("who", "c").alias("z"))
         each = each.select("chrom", "tile", F.col("s.seq").alias("seq"), F.explode("z").alias("z"))
         listed = each.select("chrom", "tile", "seq", *(F.col(f"z.who.{k}").alias(k) for k in keep), F.col("z.c").alias("c"))

@@ -41,9 +41,12 @@ def sample_calls(
     positions: DataFrame | None = None,
     by: tuple[str, ...] = (),
     differing: bool = False,
+    samples: list[str] | None = None,
 ) -> DataFrame:
     """Alignments to per-sample rows ready for the calling expressions.
 
+    With ``samples`` every site has a row for each of them, see :func:`pileup_counts`.
+
     With ``differing`` only sites that may be called are there: some read has another base than the
     reference or, with ``indels``, an indel.  These are stored, as they are read twice.
     """
@@ -52,7 +55,7 @@ def sample_calls(
         found = indel_summary(pileup_indels(reads, tiles, options, by, positions=positions))
         found = materialize(found, "indels") if differing else found
     besides = found.select("chrom", "pos") if differing and indels else None
-    counts = pileup_counts(reads, options, by=by, positions=positions, tiles=tiles, differing=differing, besides=besides)
+    counts = pileup_counts(reads, options, by=by, positions=positions, tiles=tiles, differing=differing, besides=besides, samples=samples)
     calls = with_alleles(counts)
     return attach_indels(calls, found) if indels else calls
 

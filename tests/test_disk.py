@@ -1,10 +1,15 @@
 """What stays on disk, and how often inputs are stored or read."""
 
+import contextlib
+import io
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from catalog import queries as Q
+from genopile.operators import calls
+from genopile.plans import modes
 from genopile.sources.lines import numbered_lines, read_lines
 from genopile.sources.reads import fastq_to_pairs
 from genopile.storage import shared_folder
@@ -13,7 +18,7 @@ from genopile.storage import shared_folder
 def _derived(spark, folder):
     docs = [(i, "ab cd " * 60 + "xyz" * i, "en", "x", 360 + 3 * i) for i in range(4)]
     spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
-    items = [(o, o % 5, o % 4, 1 + o % 5, 7.0) for o in range(60)]
+    items = [(o, o % 5, o % 4, 1 + o % 5, 30.0) for o in range(60)]
     columns = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double"
     spark.createDataFrame(items, columns).write.parquet(f"{folder}/lineitem.parquet")
     return str(folder)
@@ -61,3 +66,46 @@ def test_fastq_mates_of_another_order_still_fail(spark, tmp_path):
         assert "FASTQ mates differ" in str(e)
     else:
         raise AssertionError
+
+
+def _plan(df):
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("simple")
+    return out.getvalue()
+
+
+def test_sites_of_all_samples_are_not_grouped_again(spark, tmp_path):
+    folder = _derived(spark, tmp_path)
+    found = Q.QUERIES["site_samples"](spark, folder)
+    # Pieces and the reference are shuffled by tile; nothing is shuffled by site.
+    assert "hashpartitioning(chrom" in _plan(found)
+    assert not [line for line in _plan(found).splitlines() if "Exchange" in line and "pos#" in line]
+    rows = modes.sample_calls(Q._aln(spark, folder), Q._tiles(spark, folder))
+    want = calls.site_samples(rows, Q.SAMPLES)
+    assert found.schema.simpleString() == want.schema.simpleString()
+    got = sorted(map(tuple, found.collect()))
+    assert got == sorted(map(tuple, want.collect())) and len(got) > 3
+
+
+def test_samples_that_are_not_asked_for_leave_their_sites(spark):
+    reads = [("s", "r", 0, "c", 2, 60, "2M", "AC", "II"), ("x", "q", 0, "c", 3, 60, "2M", "GT", "II"), ("x", "p", 0, "d", 9, 60, "1M", "G", "I")]
+    columns = "sample string, qname string, flag int, rname string, pos int, mapq int, cigar string, seq string, qual string"
+    tiles = spark.createDataFrame([("c", 0, "AAcA")], "chrom string, tile bigint, seq string")
+    table = spark.createDataFrame(reads, columns)
+    got = calls.site_samples(modes.sample_calls(table, tiles, samples=["s", "t"]), ["s", "t"], complete=True).collect()
+    want = calls.site_samples(modes.sample_calls(table, tiles), ["s", "t"]).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(got) == 8
+
+
+def test_contigs_that_repeat_are_an_error_where_samples_meet(spark):
+    columns = "sample string, qname string, flag int, rname string, pos int, mapq int, cigar string, seq string, qual string"
+    table = spark.createDataFrame([("s", "r", 0, "c", 2, 60, "2M", "AC", "II")], columns)
+    for second, fails in (("AAAA", True), ("TTTT", False)):
+        tiles = spark.createDataFrame([("c", 0, "AAAA"), ("c", 0, second)], "chrom string, tile bigint, seq string")
+        found = calls.site_samples(modes.sample_calls(table, tiles, samples=["s"]), ["s"], complete=True)
+        if fails:
+            with pytest.raises(Exception, match="there twice"):
+                found.collect()
+        else:
+            assert sorted((r.pos, r.ref) for r in found.collect()) == [(2, "A"), (2, "T"), (3, "A"), (3, "T")]
