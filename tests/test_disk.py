@@ -109,3 +109,46 @@ def test_contigs_that_repeat_are_an_error_where_samples_meet(spark):
                 found.collect()
         else:
             assert sorted((r.pos, r.ref) for r in found.collect()) == [(2, "A"), (2, "T"), (3, "A"), (3, "T")]
+
+
+def _files(spark, before, kind):
+    folder = f"{shared_folder(spark).removeprefix('file:')}/genopile"
+    made = [n for n in set(os.listdir(folder)) - before if n.startswith(kind)]
+    return [f for n in made for _, _, names in os.walk(f"{folder}/{n}") for f in names if f.startswith("part-")]
+
+
+def test_tables_of_pairs_are_packed_and_the_pairs_not_kept(spark, tmp_path):
+    folder, before = _derived(spark, tmp_path), _new_tables(spark)
+    found = Q.QUERIES["tag_samples"](spark, folder)
+    assert _new_tables(spark, before) == {"pairs"}
+    files = _files(spark, before, "pairs-")
+    assert files and all(f.endswith(".json.gz") for f in files)
+    want = sorted((r.sample, r.header) for r in Q.fx.read_pairs(spark, folder).collect())
+    assert sorted(map(tuple, found.collect())) == want
+
+
+def test_sorted_sam_is_packed_and_its_input_not_kept(spark, tmp_path):
+    folder, before = _derived(spark, tmp_path), _new_tables(spark)
+    found = Q.QUERIES["sorted_sam"](spark, folder)
+    assert _new_tables(spark, before) == {"sorted", "contigs"}
+    assert any(f.endswith(".txt.gz") for f in _files(spark, before, "sorted-"))
+    want = Q.fx.aln(spark, folder).select(*found.columns)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_sorted_alignments_keep_only_the_result(spark, tmp_path):
+    folder, before = _derived(spark, tmp_path), _new_tables(spark)
+    found = Q.QUERIES["sorted_alignments"](spark, folder)
+    assert _new_tables(spark, before) == {"sorted", "contigs"}
+    want = Q.fx.aln(spark, folder).select(*found.columns)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_written_sam_is_packed_and_its_input_not_kept(spark, tmp_path):
+    folder, before = _derived(spark, tmp_path), _new_tables(spark)
+    found = Q.QUERIES["sam_rows"](spark, folder)
+    assert _new_tables(spark, before) == {"sam"}
+    files = _files(spark, before, "sam-")
+    assert files and all(f.endswith(".txt.gz") for f in files)
+    want = Q.fx.aln(spark, folder).select(*found.columns)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
