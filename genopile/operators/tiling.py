@@ -9,6 +9,10 @@ from genopile.config import HALO
 from genopile.operators.prefix import exclusive_prefix
 
 
+# Up to so many segments it is quicker to compare with every bound.
+_FEW = 32
+
+
 def equal_bounds(rows: DataFrame, n_segments: int) -> DataFrame:
     """Positions that close a segment of equal record count, ``(bound)``.
 
@@ -38,7 +42,9 @@ def segments(bounds: DataFrame, halo: int = HALO) -> DataFrame:
 
 
 def _below(bounds: Column, x: Column, n_segments: int) -> Column:
-    """How many sorted bounds are smaller than ``x``, by halving the range."""
+    """How many sorted bounds are smaller than ``x``: counted where they are few, else by halving the range."""
+    if n_segments <= _FEW:
+        return F.size(F.filter(bounds, lambda b: b < x)).cast("bigint")
     steps = F.sequence(F.lit(1), F.lit(max(1, (4 * n_segments).bit_length())))
     start = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"))
 
