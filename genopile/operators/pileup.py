@@ -171,16 +171,18 @@ def _counter(names: list[str], quality: bool, min_base_qual: int, tile: int):
         good = (qual >= min_base_qual) & (qual >= -33)
         here, base, qual = here[good], base[good], qual[good]
         letter = letters[np.where((base < 0) | (base > 255), 0, base)]
-        table = np.bincount(here * width + letter, minlength=size * width).reshape(size, width)
+        spot = here * width + letter
+        table = np.bincount(spot, minlength=size * width).reshape(size, width)
         depth = table.sum(1)
         # A position all of whose bases lie behind the end of the read's text has no letter counts.
         known = np.bincount(here[base >= 0], minlength=size)
         columns = [depth, *table.T[:-1]]
         if quality:
             right = np.where((qual >= 0) & (qual <= _TOP_QUALITY), cost[np.clip(qual, 0, _TOP_QUALITY)], 0)
-            of = [base == ord(b) for b in "ACGT"]
-            columns += [np.bincount(here[o], right[o], size) for o in of]
-            columns += [np.bincount(here[o], qual[o] * float(PHRED_UNITS), size) for o in of]
+            # All letters are summed at once; the sums are of whole numbers and so exact.
+            at_letter = [[*_LETTERS].index(b) for b in "ACGT"]
+            for cost_of in (right, qual * float(PHRED_UNITS)):
+                columns += [*np.bincount(spot, cost_of, size * width).reshape(size, width).T[at_letter]]
         n_ready = pc.fill_null(pc.list_value_length(ready), 0).to_numpy(zero_copy_only=False) // (1 + len(names))
         if n_ready.any():
             before = ready.flatten().to_numpy(zero_copy_only=False).reshape(-1, 1 + len(names))

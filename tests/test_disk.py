@@ -4,11 +4,12 @@ import contextlib
 import io
 import os
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from catalog import queries as Q
-from genopile.operators import calls
+from genopile.operators import calls, pileup, tiling
 from genopile.plans import modes
 from genopile.sources.lines import numbered_lines, read_lines
 from genopile.sources.reads import fastq_to_pairs
@@ -152,3 +153,34 @@ def test_written_sam_is_packed_and_its_input_not_kept(spark, tmp_path):
     assert files and all(f.endswith(".txt.gz") for f in files)
     want = Q.fx.aln(spark, folder).select(*found.columns)
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_few_bounds_are_compared_in_turn_many_by_halving(spark):
+    axis = spark.createDataFrame([(x,) for x in [None, *range(0, 60, 3)]], "cum_pos bigint")
+    bounds = spark.createDataFrame([(b,) for b in (40, 6, 6, 27, 9)], "bound bigint")
+    found = {}
+    for n in (4, tiling._FEW + 1):
+        rows = tiling.halo_segments(axis, bounds, n, halo=7)
+        found[n] = sorted(((r.cum_pos, r.seg) for r in rows.collect()), key=str)
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        # Halving a range is an interpreted loop of several steps for each row.
+        assert ("aggregate(" in plan.replace("Aggregate", "")) == (n > tiling._FEW)
+    assert found[4] == found[tiling._FEW + 1]
+    want = [(None, None)] + [(x, s) for x in range(0, 60, 3) for s in range(sum(b < x for b in (6, 6, 9, 27, 40)), sum(b < x + 7 for b in (6, 6, 9, 27, 40)) + 1)]
+    assert found[4] == sorted(want, key=str)
+
+
+def test_quality_sums_are_made_in_one_pass(monkeypatch):
+    made = []
+    count = pileup.np.bincount
+    monkeypatch.setattr(pileup.np, "bincount", lambda *a, **b: made.append(len(a) > 1 and a[1] is not None) or count(*a, **b))
+    names = pileup._counters(True)
+    kind = pa.struct([("at", pa.int32()), ("bases", pa.string()), ("quals", pa.string()), ("ready", pa.list_(pa.int64()))])
+    groups = pa.array([[{"at": 1, "bases": "ACGTN*X", "quals": "I5I5III", "ready": None}, {"at": 2, "bases": "CA", "quals": "+I", "ready": None}]], pa.list_(kind))
+    rows = pileup._counter(names, True, 0, 8)(groups)
+    assert sum(made) == 2
+    got = {r[0]: dict(zip(names, r[1:])) for r in pileup.np.array(rows[0].as_py()).reshape(-1, 1 + len(names)).tolist()}
+    costs = pileup._match_costs()
+    assert (got[2]["n_c"], got[2]["ok_c"], got[2]["err_c"]) == (2, costs[20] + costs[10], 30_000)
+    assert (got[3]["ok_a"], got[3]["err_g"], got[3]["err_t"], got[1]["err_a"]) == (costs[40], 40_000, 0, 40_000)
+    assert [got[p]["depth"] for p in range(1, 8)] == [1, 2, 2, 1, 1, 1, 1] and got[7]["ok_a"] == 0
